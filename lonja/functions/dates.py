@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lonja.functions.casts import Mode, whole_number
-
 # First and last day a nanosecond timestamp can hold; other days are unreadable.
 FIRST_DAY = "1677-09-22"
 LAST_DAY = "2262-04-11"
@@ -19,37 +17,22 @@ def _in_range(day: Column) -> Column:
     return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
 
 
-def from_yyyymmdd(value: Column, mode: Mode = "strict", label: str = "value") -> Column:
-    """YYYYMMDD number or text to date.
-
-    Eight digits are split by arithmetic, so the usual case stays free of string work. Shorter
-    forms such as ``2026630`` are matched digit by digit.
-    """
-    return _from_number(whole_number(value, mode, label))
-
-
-def from_yyyymm(value: Column, mode: Mode = "strict", label: str = "value") -> Column:
-    """YYYYMM number or text to the first day of that month."""
-    month = whole_number(value, mode, label)
-    in_bounds = F.when(month.between(-(10**15), 10**15), month)
-    return _from_number(in_bounds * F.lit(100) + F.lit(1))
+def from_yyyymmdd(number: Column) -> Column:
+    """Date of a whole number YYYYMMDD; shorter forms such as 2026630 are read digit by digit."""
+    text = number.cast("string")
+    digits = F.length(text)
+    parts = [F.substring(text, start, size) for start, size in ((1, 4), (5, 2), (7, 2))]
+    # Six or seven digits that do not match stay as they are: a year far out of range.
+    dashed = F.when(digits == 8, F.concat_ws("-", *parts)).when(
+        digits.isin(6, 7), F.regexp_replace(text, LOOSE_YMD, "$1-$2-$3")
+    )
+    return _in_range(dashed.try_cast("date"))
 
 
-def _from_number(number: Column) -> Column:
-    year = F.floor(number / 10000).cast("int")
-    month = (F.floor(number / 100) % 100).cast("int")
-    day = (number % 100).cast("int")
-    eight_digits = number.between(10000101, 99991231)
-    calendar_month = eight_digits & month.between(1, 12)
-    month_start = F.when(calendar_month, F.make_date(year, month, F.lit(1)))
-    exact = F.when(
-        calendar_month & day.between(1, F.day(F.last_day(month_start))),
-        F.date_add(month_start, day - 1),
-    )
-    text = number.cast("string")
-    part = [F.regexp_extract(text, LOOSE_YMD, i) for i in (1, 2, 3)]
-    loose = F.concat_ws("-", *part).try_cast("date")
-    return _in_range(F.when(eight_digits, exact).otherwise(loose))
+def from_yyyymm(number: Column) -> Column:
+    """First day of the month of a whole number YYYYMM."""
+    sane = F.when(number.between(0, 10**10), number)
+    return from_yyyymmdd(sane * 100 + 1)
 
 
 def from_iso(value: Column) -> Column:

@@ -7,10 +7,10 @@ from typing import Any, Literal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 from lonja.functions import dates
-from lonja.functions.casts import Mode, typed
+from lonja.functions.casts import Mode, typed, whole_number
 from lonja.functions.text import header_names, strip
 from lonja.sources.schemas import BUDGET_TYPES, CONTACT_TYPES, SALES_TYPES
 
@@ -32,14 +32,21 @@ def strip_text(df: DataFrame) -> DataFrame:
 
 def parse_yyyymmdd(df: DataFrame, columns: Sequence[str], mode: Mode = "strict") -> DataFrame:
     return _replace(
-        df, {c: dates.from_yyyymmdd(F.col(c), mode, c) for c in columns if c in df.columns}
+        df, {c: dates.from_yyyymmdd(_whole(df, c, mode)) for c in columns if c in df.columns}
     )
 
 
 def parse_yyyymm(df: DataFrame, column: str, mode: Mode = "strict") -> DataFrame:
     if column not in df.columns:
         return df
-    return _replace(df, {column: dates.from_yyyymm(F.col(column), mode, column)})
+    return _replace(df, {column: dates.from_yyyymm(_whole(df, column, mode))})
+
+
+def _whole(df: DataFrame, column: str, mode: Mode) -> Column:
+    """The column as bigint; an integer column needs no checks."""
+    if isinstance(df.schema[column].dataType, IntegralType):
+        return F.col(column).cast("bigint")
+    return whole_number(F.col(column), mode, column)
 
 
 def parse_iso(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -159,14 +159,16 @@ _PARTS = ("_k1", "_k2", "_k3")
 
 
 def seed_rows(spark: SparkSession, table: str) -> DataFrame:
-    """The fixed members of a dimension."""
-    return spark.createDataFrame(SEEDS[table], STAR[table])
+    """The fixed members of a dimension: one to four rows in one partition."""
+    return spark.createDataFrame(SEEDS[table], STAR[table]).coalesce(1)
 
 
 def ensure_seeds(existing: DataFrame, table: str) -> DataFrame:
     """Insert the fixed members whose surrogate key is absent; existing rows stay."""
     sk = ALL_DIMENSIONS[table].sk
-    missing = seed_rows(existing.sparkSession, table).join(existing.select(sk), sk, "left_anti")
+    # A surrogate key is unique, so at most as many rows as there are seeds.
+    present = F.broadcast(existing.select(sk).where(F.col(sk).isin([r[0] for r in SEEDS[table]])))
+    missing = seed_rows(existing.sparkSession, table).join(present, sk, "left_anti")
     return existing.unionByName(missing.select(*existing.columns))
 
 

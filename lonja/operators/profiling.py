@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lonja.functions.text import strip
+from lonja.sources.staging import stage_numbered
 
 # Limits of the profile and of the audits.
 TOP_VALUES = 10
@@ -281,23 +282,33 @@ def group_sizes(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def domain_overlap(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Shared and one-sided values of column pairs, after strip and upper case."""
-    tagged = []
+    """Shared and one-sided values of column pairs, after strip and upper case.
+
+    Each frame is scanned once for all the pairs it takes part in.
+    """
+    frames: dict[int, DataFrame] = {}
+    sides: dict[int, list[Column]] = {}
     for name, (left, left_column, right, right_column) in pairs.items():
         for df, column, side in ((left, left_column, 1), (right, right_column, 2)):
+            frames[id(df)] = df
             value = F.upper(strip(F.col(column).cast("string")))
-            tagged.append(
-                df.select(F.lit(name).alias("par"), value.alias("valor"), F.lit(side).alias("_s"))
-                .where("valor is not null")
-                .distinct()
+            entry = F.struct(
+                F.lit(name).alias("par"), value.alias("valor"), F.lit(side).alias("_s")
             )
-    sides = (
+            sides.setdefault(id(df), []).append(entry)
+    tagged = [
+        df.select(F.explode(F.array(*sides[key])).alias("v")).select("v.*")
+        for key, df in frames.items()
+    ]
+    values = (
         reduce(DataFrame.unionByName, tagged)
+        .where("valor is not null")
+        .distinct()
         .groupBy("par", "valor")
         .agg(F.sum("_s").alias("_sides"))
     )
     side = F.col("_sides")
-    return sides.groupBy("par").agg(
+    return values.groupBy("par").agg(
         F.count_if(side != 2).alias("n_a"),
         F.count_if(side != 1).alias("n_b"),
         F.count_if(side == 3).alias("n_comunes"),
@@ -350,6 +361,26 @@ def measure_stats(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(measures), "medida", "_m").select("medida", "_m.*")
 
 
+def quartiles(df: DataFrame, measure: str) -> DataFrame:
+    """Exact quartiles of one measure with linear interpolation between neighbours.
+
+    The values are sorted by range across tasks and numbered; only the rows at the wanted
+    positions go on.
+    """
+    values = df.select(F.col(measure).cast("double").alias("v")).where("v is not null")
+    sorted_values = stage_numbered(values, f"sorted-{measure}", [F.col("v")], "_n")
+    last = sorted_values.count() - 1
+    points = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    picked = []
+    for name, q in points.items():
+        place = last * q
+        low = int(place)
+        below = F.max(F.when(F.col("_n") == low + 1, F.col("v")))
+        above = F.max(F.when(F.col("_n") == min(low + 1, last) + 1, F.col("v")))
+        picked.append((below + (above - below) * F.lit(place - low)).alias(name))
+    return sorted_values.agg(F.lit(measure).alias("medida"), *picked)
+
+
 def share(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """Percentage of rows that meet each condition; a null condition counts as not met."""
     return df.agg(

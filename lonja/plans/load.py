@@ -16,7 +16,7 @@ from lonja.operators.facts import FACT_SPECS, build_fact
 from lonja.operators.quality import require_passed, validation_report
 from lonja.sources.mart_tables import MartTables, conformed
 from lonja.sources.schemas import DIMENSIONS, FACTS
-from lonja.sources.staging import ROW, stage_numbered
+from lonja.sources.staging import ROW, stage, stage_numbered
 
 # Independent table writes run side by side; the cluster's scheduler shares the executors.
 CONCURRENT_WRITES = 4
@@ -66,7 +66,7 @@ def load_dimensions(mart: MartTables, ruled: Mapping[str, DataFrame]) -> None:
         for table in DIMENSIONS
         if table != "dim_tiempo"
     }
-    keys = dims.all_member_keys(ruled).cache()
+    keys = stage(dims.all_member_keys(ruled), "members")
     fresh = dims.number_new_members(keys, existing)
 
     def merge(table: str) -> None:
@@ -81,7 +81,6 @@ def load_dimensions(mart: MartTables, ruled: Mapping[str, DataFrame]) -> None:
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(merge, existing))
-    keys.unpersist()
 
 
 def load_facts(mart: MartTables, ruled: Mapping[str, DataFrame], loaded_at: str) -> None:

@@ -71,13 +71,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer splits than there are cores.
+
+    A large input has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sales(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None, keys: bool = False
 ) -> DataFrame:
     """Sale events; ``keys`` adds the line's own columns that fix a row order."""
     columns = list(columns or _SALES)
     needs = {_SALES[c][1] for c in columns} - {None}
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     if needs & {"orders", "region"}:
         orders = table(spark, sf_dir, "orders")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -108,9 +117,11 @@ def sales(
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales plus a second copy of some of them, under the raw headers."""
-    events = sales(spark, sf_dir)
-    copies = events.where(F.col("codigo_factura").like("%000-%"))
-    return under_headers(events.unionByName(copies), "ventas")
+    twice = F.coalesce(F.col("codigo_factura").like("%000-%"), F.lit(False))
+    copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return under_headers(
+        sales(spark, sf_dir).withColumn("_copy", F.explode(copies)).drop("_copy"), "ventas"
+    )
 
 
 def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +180,7 @@ def _times(column: str, factor: str) -> Column:
 def contacts(spark: SparkSession, sf_dir: str, keys: bool = False) -> DataFrame:
     """Contact records; ``keys`` adds the event id, which fixes a row order."""
     regions = table(spark, sf_dir, "region")
-    events = table(spark, sf_dir, "events").join(
+    events = spread(table(spark, sf_dir, "events")).join(
         regions, F.col("user_id") % 5 == F.col("r_regionkey"), "left"
     )
     untyped = F.col("event_id") % 67 == 0

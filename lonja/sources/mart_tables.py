@@ -37,10 +37,9 @@ class MartTables:
         )
         for table, schema in STAR.items():
             if not self.exists(table):
-                first = f"{self.location}/{table}/{uuid4().hex}"
-                self.spark.createDataFrame([], schema).write.parquet(first)
+                empty = f"{self.location}/{table}/{uuid4().hex}"
                 self.spark.catalog.createTable(
-                    self.name(table), path=first, source="parquet", schema=schema
+                    self.name(table), path=empty, source="parquet", schema=schema
                 )
 
     def read(self, table: str) -> DataFrame:
