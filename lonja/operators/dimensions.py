@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ class Dimension:
 
     ``sources`` names, per source, the column of each natural-key part (None: always null).
     ``attributes`` are SQL expressions over the natural key. ``updated`` columns change when a
-    known member comes again. ``keep_null_key`` keeps members whose first part is null.
+    known member comes again. ``null_keys`` says which keys are no members: those with a null
+    ``first`` part, only the wholly null one (``all``), or ``none``.
     """
 
     table: str
@@ -31,7 +33,14 @@ class Dimension:
     sources: Mapping[str, tuple[str | None, ...]] = field(default_factory=dict)
     attributes: Mapping[str, str] = field(default_factory=dict)
     updated: tuple[str, ...] = ()
-    keep_null_key: bool = False
+    null_keys: Literal["first", "all", "none"] = "first"
+
+    def is_member(self, parts: Sequence[Column]) -> Column:
+        if self.null_keys == "none":
+            return F.lit(True)
+        if self.null_keys == "first":
+            return parts[0].isNotNull()
+        return F.coalesce(*parts).isNotNull()
 
 
 # Natural keys, source columns and attributes of the text dimensions.
@@ -79,7 +88,7 @@ TEXT_DIMENSIONS: dict[str, Dimension] = {
                 "presupuesto": ("gerente", "jefe", "especialista"),
                 "registros": ("gerente", "jefe", "especialista"),
             },
-            keep_null_key=True,
+            null_keys="none",
         ),
         Dimension(
             "dim_aliado",
@@ -193,9 +202,7 @@ def members(spec: Dimension, frames: Mapping[str, DataFrame]) -> DataFrame:
         if source in frames
     ]
     found = reduce(DataFrame.unionByName, keys).distinct()
-    if not spec.keep_null_key:
-        found = found.where(F.col(spec.key[0]).isNotNull())
-    return with_attributes(found, spec)
+    return with_attributes(found.where(spec.is_member([F.col(c) for c in spec.key])), spec)
 
 
 def with_attributes(keys: DataFrame, spec: Dimension) -> DataFrame:
@@ -218,21 +225,15 @@ def all_member_keys(
             if source not in spec.sources:
                 continue
             key = source_key(df, spec.sources[source])
+            member = spec.is_member(key)
             key += [F.lit(None).cast("string")] * (len(_PARTS) - len(key))
             row = F.struct(
-                F.lit(spec.table).alias("_dim"),
-                F.lit(spec.keep_null_key).alias("_keep"),
-                *[k.alias(p) for k, p in zip(key, _PARTS)],
+                F.lit(spec.table).alias("_dim"), *[k.alias(p) for k, p in zip(key, _PARTS)]
             )
-            structs.append(row)
+            structs.append(F.when(member, row))
         if structs:
             parts.append(df.select(F.explode(F.array(*structs)).alias("m")).select("m.*"))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .where("_keep or _k1 is not null")
-        .select("_dim", *_PARTS)
-        .distinct()
-    )
+    return reduce(DataFrame.unionByName, parts).where("_dim is not null").distinct()
 
 
 def number_new_members(keys: DataFrame, existing: Mapping[str, DataFrame]) -> DataFrame:

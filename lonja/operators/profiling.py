@@ -302,12 +302,12 @@ def domain_overlap(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -
     ]
     values = (
         reduce(DataFrame.unionByName, tagged)
-        .where("valor is not null")
         .distinct()
         .groupBy("par", "valor")
         .agg(F.sum("_s").alias("_sides"))
     )
-    side = F.col("_sides")
+    # Nulls are no values, but they keep a pair without any value in the report.
+    side = F.when(F.col("valor").isNotNull(), F.col("_sides"))
     return values.groupBy("par").agg(
         F.count_if(side != 2).alias("n_a"),
         F.count_if(side != 1).alias("n_b"),
@@ -364,20 +364,26 @@ def measure_stats(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 def quartiles(df: DataFrame, measure: str) -> DataFrame:
     """Exact quartiles of one measure with linear interpolation between neighbours.
 
-    The values are sorted by range across tasks and numbered; only the rows at the wanted
-    positions go on.
+    Equal values combine first, so a value that fills a third of the rows is one row. The
+    distinct values are sorted by range across tasks with the rows up to each; only those at
+    the wanted positions go on.
     """
-    values = df.select(F.col(measure).cast("double").alias("v")).where("v is not null")
-    sorted_values = stage_numbered(values, f"sorted-{measure}", [F.col("v")], "_n")
-    last = sorted_values.count() - 1
-    points = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    value = F.col(measure).cast("double").alias("v")
+    counted = df.select(value).where("v is not null").groupBy("v").agg(F.count("*").alias("_rows"))
+    sorted_values = stage_numbered(
+        counted, f"sorted-{measure}", [F.col("v")], "_upto", weight="_rows"
+    )
+    last = (sorted_values.agg(F.max("_upto").alias("n")).first()["n"] or 1) - 1
+    covers = F.col("_upto") - F.col("_rows")
     picked = []
-    for name, q in points.items():
+    for name, q in {"p25": 0.25, "p50": 0.5, "p75": 0.75}.items():
         place = last * q
         low = int(place)
-        below = F.max(F.when(F.col("_n") == low + 1, F.col("v")))
-        above = F.max(F.when(F.col("_n") == min(low + 1, last) + 1, F.col("v")))
-        picked.append((below + (above - below) * F.lit(place - low)).alias(name))
+        at = [
+            F.max(F.when((covers <= i) & (F.lit(i) < F.col("_upto")), F.col("v")))
+            for i in (low, min(low + 1, last))
+        ]
+        picked.append((at[0] + (at[1] - at[0]) * F.lit(place - low)).alias(name))
     return sorted_values.agg(F.lit(measure).alias("medida"), *picked)
 
 

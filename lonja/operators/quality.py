@@ -52,22 +52,40 @@ def unknown_members(tables: Tables) -> DataFrame:
 def orphan_counts(tables: Tables) -> DataFrame:
     """Fact rows without their dimension row, for each of the 23 foreign keys.
 
-    All keys of a fact are checked in one scan of it.
+    Each fact is scanned once for all its keys and counted by key value in the scan tasks; only
+    the distinct key values meet the dimensions, never the fact rows.
     """
-    parts = []
+    used = []
     for fact in FACTS:
-        keys = [(key, dim) for table, key, dim in FOREIGN_KEYS if table == fact]
-        checked = tables[fact].select(*[key for key, _ in keys])
-        for key, dim in keys:
-            found = tables[dim].select(F.col(key).alias(f"_{key}")).distinct()
-            checked = checked.join(found, F.col(key) == F.col(f"_{key}"), "left")
-        counts = checked.agg(*[F.count_if(F.col(f"_{key}").isNull()).alias(key) for key, _ in keys])
-        parts.append(
-            counts.unpivot([], [key for key, _ in keys], "fk", "huerfanos").select(
-                F.lit(fact).alias("hecho"), "fk", "huerfanos"
-            )
+        keys = [key for table, key, _ in FOREIGN_KEYS if table == fact]
+        used.append(
+            tables[fact]
+            .select(*keys)
+            .unpivot([], keys, "fk", "sk")
+            .groupBy("fk", "sk")
+            .agg(F.count("*").alias("_n"))
+            .select(F.lit(fact).alias("hecho"), "fk", "sk", "_n")
         )
-    return _stack(parts)
+    known = _stack(
+        [
+            tables[dim].select(F.lit(key).alias("_fk"), F.col(key).alias("_sk"))
+            for key, dim in sorted({(key, dim) for _, key, dim in FOREIGN_KEYS})
+        ]
+    ).distinct()
+    lost = _stack(used).join(
+        known, (F.col("fk") == F.col("_fk")) & (F.col("sk") == F.col("_sk")), "left_anti"
+    )
+    # A line per foreign key, also for an empty fact.
+    spark = tables[FACTS[0]].sparkSession
+    lines = spark.createDataFrame(
+        [(fact, key) for fact, key, _ in FOREIGN_KEYS], "hecho string, fk string"
+    ).coalesce(1)
+    return (
+        lost.select("hecho", "fk", "_n")
+        .unionByName(lines.withColumn("_n", F.lit(0).cast("bigint")))
+        .groupBy("hecho", "fk")
+        .agg(F.sum("_n").alias("huerfanos"))
+    )
 
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:

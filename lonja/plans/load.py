@@ -19,7 +19,7 @@ from lonja.sources.schemas import DIMENSIONS, FACTS
 from lonja.sources.staging import ROW, stage, stage_numbered
 
 # Independent table writes run side by side; the cluster's scheduler shares the executors.
-CONCURRENT_WRITES = 4
+CONCURRENT_WRITES = 8
 
 
 @dataclass

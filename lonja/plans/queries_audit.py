@@ -315,13 +315,12 @@ _PAIRS = {
 
 
 def _overlap_oracle(pair: str, left: str, a: str, right: str, b: str) -> str:
-    # A pair without any value on either side has no row.
     both = f"""FROM (SELECT DISTINCT {a} AS v FROM {left} WHERE {a} IS NOT NULL) x
       FULL JOIN (SELECT DISTINCT {b} AS v FROM {right} WHERE {b} IS NOT NULL) y ON x.v = y.v"""
     return f"""SELECT '{pair}' AS par, count(x.v) AS n_a, count(y.v) AS n_b,
       count(*) FILTER (x.v IS NOT NULL AND y.v IS NOT NULL) AS n_comunes,
       count(*) FILTER (y.v IS NULL) AS n_solo_a, count(*) FILTER (x.v IS NULL) AS n_solo_b
-    {both} HAVING count(*) > 0"""
+    {both}"""
 
 
 @query("i13_domain_overlap", " UNION ALL ".join(_overlap_oracle(p, *c) for p, c in _PAIRS.items()))

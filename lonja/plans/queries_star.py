@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators import dimensions as dims
 from lonja.operators import quality
-from lonja.operators.facts import FACT_SPECS, lookup_key
+from lonja.operators.facts import FACT_SPECS, build_fact, lookup_key
 from lonja.plans.registry import loaded, query, star
 from lonja.sources import analogues as src
 from lonja.sources.schemas import DIMENSIONS, FACTS, STAR
@@ -81,30 +81,20 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
-@query(
-    "f1_fact_ventas",
-    """SELECT * REPLACE (CAST(valor_antes_iva AS DOUBLE) AS valor_antes_iva,
-      CAST(cuotas AS DOUBLE) AS cuotas) FROM fact_ventas""",
-)
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    return star(spark, sf)["fact_ventas"].drop("sk_venta", "fecha_carga_dw")
+def _fact_query(table: str, name: str, amounts: tuple[str, ...]) -> None:
+    spec = FACT_SPECS[table]
+    as_double = ", ".join(f"CAST({a} AS DOUBLE) AS {a}" for a in amounts)
 
-
-@query(
-    "f2_fact_presupuesto",
-    """SELECT * REPLACE (CAST(terminales AS DOUBLE) AS terminales,
-      CAST(tecnologia AS DOUBLE) AS tecnologia, CAST(tyt AS DOUBLE) AS tyt) FROM fact_presupuesto""",
-)
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    return star(spark, sf)["fact_presupuesto"].drop("sk_presupuesto", "fecha_carga_dw")
+    @query(name, f"SELECT * REPLACE ({as_double}) FROM {table}")
+    def _(spark: SparkSession, sf: str) -> DataFrame:
+        result = loaded(spark, sf)[1]
+        fact = build_fact(spec, result.ruled[spec.source], result.tables, "2026-01-01 00:00:00")
+        return fact.drop(spec.sk, "fecha_carga_dw")
 
 
-@query(
-    "f3_fact_gestion_tmk",
-    "SELECT * REPLACE (CAST(intentos AS DOUBLE) AS intentos) FROM fact_gestion_tmk",
-)
-def _(spark: SparkSession, sf: str) -> DataFrame:
-    return star(spark, sf)["fact_gestion_tmk"].drop("sk_gestion", "fecha_carga_dw")
+_fact_query("fact_ventas", "f1_fact_ventas", ("valor_antes_iva", "cuotas"))
+_fact_query("fact_presupuesto", "f2_fact_presupuesto", ("terminales", "tecnologia", "tyt"))
+_fact_query("fact_gestion_tmk", "f3_fact_gestion_tmk", ("intentos",))
 
 
 @query(

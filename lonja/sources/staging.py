@@ -27,14 +27,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_numbered(
-    df: DataFrame, name: str, order_by: Sequence[Column] = (), column: str = ROW
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[Column] = (),
+    column: str = ROW,
+    weight: str | None = None,
 ) -> DataFrame:
     """Stage ``df`` with a gap-free number 1..n in ``column``.
 
     Every write task stores its own partition number and row positions, so the numbers come
     from what was written once and stay the same when tasks are lost and rerun. The only data
-    that reaches the driver is one row count per write task. With ``order_by`` the frame is
-    range-partitioned and sorted first, and the numbers follow that order.
+    that reaches the driver is one count per write task. With ``order_by`` the frame is
+    range-partitioned and sorted first, and the numbers follow that order. With ``weight`` a
+    row stands for that many, and its number is the running total.
     """
     spark = df.sparkSession
     ordered = df.orderBy(*order_by) if order_by else df
@@ -46,17 +51,21 @@ def stage_numbered(
         ),
         name,
     )
-    sizes = written.groupBy("_part").agg(F.count("*").alias("n")).collect()
-    starts, total = [], 0
-    for part, n in sorted((row["_part"], row["n"]) for row in sizes):
-        starts.append((part, total))
-        total += n
-    if len(starts) <= 1:
-        numbered = written.withColumn(column, F.col("_pos") + 1)
+    if weight:
+        total, so_far = F.sum(weight), Window.partitionBy("_part").orderBy("_pos")
+        within = F.sum(weight).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
     else:
-        offsets = spark.createDataFrame(starts, "_part int, _start bigint")
-        numbered = written.join(F.broadcast(offsets), "_part", "left").withColumn(
-            column, F.col("_start") + F.col("_pos") + 1
+        total, within = F.count("*"), F.col("_pos") + 1
+    sizes = written.groupBy("_part").agg(total.alias("n")).collect()
+    starts, start = [], 0
+    for part, n in sorted((row["_part"], row["n"]) for row in sizes):
+        starts.append((part, start))
+        start += n
+    numbered = written.withColumn(column, within)
+    if len(starts) > 1:
+        offsets = spark.createDataFrame(starts, "_part int, _start bigint").coalesce(1)
+        numbered = numbered.join(F.broadcast(offsets), "_part").withColumn(
+            column, F.col(column) + F.col("_start")
         )
     return numbered.drop("_part", "_pos", "_start")
 
