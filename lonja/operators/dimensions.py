@@ -236,7 +236,11 @@ def all_member_keys(
     return reduce(DataFrame.unionByName, parts).where("_dim is not null").distinct()
 
 
-def number_new_members(keys: DataFrame, existing: Mapping[str, DataFrame]) -> DataFrame:
+def number_new_members(
+    keys: DataFrame,
+    existing: Mapping[str, DataFrame],
+    specs: Mapping[str, Dimension] = TEXT_DIMENSIONS,
+) -> DataFrame:
     """Surrogate keys for members no dimension knows yet, all dimensions in one sorted write.
 
     Members are numbered by dimension and natural key (nulls last), on from each dimension's
@@ -244,7 +248,7 @@ def number_new_members(keys: DataFrame, existing: Mapping[str, DataFrame]) -> Da
     """
     known = reduce(
         DataFrame.unionByName,
-        [_as_parts(existing[table], TEXT_DIMENSIONS[table]) for table in TEXT_DIMENSIONS],
+        [_as_parts(existing[table], spec) for table, spec in specs.items()],
     )
     whole = ("_dim", *_PARTS)
     fresh = keys.join(_prefixed(known, whole), _same_key(whole), "left_anti")

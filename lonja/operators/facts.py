@@ -25,11 +25,10 @@ class Fact:
     date: str
     measures: Mapping[str, str]
 
-    @property
-    def dimensions(self) -> list[Dimension]:
+    def dimensions(self, specs: Mapping[str, Dimension]) -> list[Dimension]:
         """Text dimensions whose key this fact carries."""
         columns = set(STAR[self.table].names)
-        return [d for d in TEXT_DIMENSIONS.values() if d.sk in columns]
+        return [d for d in specs.values() if d.sk in columns]
 
 
 # Date and measures of the facts, with their defaults for missing values.
@@ -99,16 +98,21 @@ def lookup_key(df: DataFrame, dim: DataFrame, sk: str, pairs: Mapping[str, Colum
 
 
 def build_fact(
-    spec: Fact, ruled: DataFrame, dims: Mapping[str, DataFrame], loaded_at: str
+    spec: Fact,
+    ruled: DataFrame,
+    dims: Mapping[str, DataFrame],
+    loaded_at: str,
+    specs: Mapping[str, Dimension] = TEXT_DIMENSIONS,
 ) -> DataFrame:
     """The fact table of one ruled source.
 
     ``ruled`` is a staged frame whose row number becomes the fact's own key. ``loaded_at`` is
     one literal for the whole run.
     """
-    keyed = {}
+    keyed: dict[str, dict[str, Column]] = {}
+    own = spec.dimensions(specs)
     projection = [F.expr(spec.date).alias("_date")]
-    for dim in spec.dimensions:
+    for dim in own:
         for i, part in enumerate(source_key(ruled, dim.sources[spec.source])):
             name = f"_{dim.table}_{i}"
             projection.append(part.alias(name))
@@ -118,7 +122,7 @@ def build_fact(
     row = F.col(ROW) if ROW in ruled.columns else F.lit(None).cast("bigint")
     fact = ruled.select(row.alias(spec.sk), *projection)
     fact = lookup_key(fact, dims["dim_tiempo"], "sk_tiempo", {"fecha": F.col("_date")})
-    for dim in spec.dimensions:
+    for dim in own:
         fact = lookup_key(fact, dims[dim.table], dim.sk, keyed[dim.table])
     return conformed(
         fact.withColumn("fecha_carga_dw", F.lit(loaded_at).cast("timestamp_ntz")), spec.table

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lonja.operators import calendar, clean, rules
@@ -15,6 +15,7 @@ from lonja.operators import dimensions as dims
 from lonja.operators.facts import FACT_SPECS, build_fact
 from lonja.operators.quality import require_passed, validation_report
 from lonja.sources.mart_tables import MartTables, conformed
+from lonja.sources.registry import first_rows
 from lonja.sources.schemas import DIMENSIONS, FACTS
 from lonja.sources.staging import ROW, stage, stage_numbered
 
@@ -59,22 +60,26 @@ def ruled_frames(
         return dict(zip(ruled, staged))
 
 
-def load_dimensions(mart: MartTables, ruled: Mapping[str, DataFrame]) -> None:
+def load_dimensions(
+    mart: MartTables,
+    ruled: Mapping[str, DataFrame],
+    specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
+) -> None:
     """Merge the members of all dimensions into the mart."""
     existing = {
         table: dims.ensure_seeds(mart.read(table), table)
         for table in DIMENSIONS
         if table != "dim_tiempo"
     }
-    keys = stage(dims.all_member_keys(ruled), "members")
-    fresh = dims.number_new_members(keys, existing)
+    keys = stage(dims.all_member_keys(ruled, specs), "members")
+    fresh = dims.number_new_members(keys, existing, specs)
 
     def merge(table: str) -> None:
         if table == dims.VALIDITY.table:
             incoming = dims.observed_validity(ruled["ventas"])
             mart.replace(table, dims.updated_members(existing[table], incoming, dims.VALIDITY))
             return
-        spec = dims.TEXT_DIMENSIONS[table]
+        spec = specs[table]
         known = dims.updated_members(existing[table], dims.from_parts(keys, spec), spec)
         new = dims.from_parts(fresh, spec, "_sk").withColumnRenamed("_sk", spec.sk)
         mart.replace(table, conformed(known, table).unionByName(conformed(new, table)))
@@ -83,23 +88,26 @@ def load_dimensions(mart: MartTables, ruled: Mapping[str, DataFrame]) -> None:
         list(pool.map(merge, existing))
 
 
-def load_facts(mart: MartTables, ruled: Mapping[str, DataFrame], loaded_at: str) -> None:
+def load_facts(
+    mart: MartTables,
+    ruled: Mapping[str, DataFrame],
+    loaded_at: str,
+    specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
+) -> None:
     """Rebuild and replace the three facts."""
     dimensions = {table: mart.read(table) for table in DIMENSIONS}
 
     def write(table: str) -> None:
         spec = FACT_SPECS[table]
-        mart.replace(table, build_fact(spec, ruled[spec.source], dimensions, loaded_at))
+        fact = build_fact(spec, ruled[spec.source], dimensions, loaded_at, specs)
+        mart.replace(table, fact)
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(write, FACT_SPECS))
 
 
 def stage_counts(
-    spark: SparkSession,
-    raw: Mapping[str, DataFrame],
-    ruled: Mapping[str, DataFrame],
-    mart: MartTables,
+    raw: Mapping[str, DataFrame], ruled: Mapping[str, DataFrame], mart: MartTables
 ) -> DataFrame:
     """Rows per stage and table: extracted, after transform and rules, loaded."""
     counted = []
@@ -123,25 +131,28 @@ def run_load(
     mart: MartTables,
     raw: Mapping[str, DataFrame],
     loaded_at: str | None = None,
-    check: bool = True,
+    max_rows: int | None = None,
+    specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
 ) -> LoadResult:
     """Load the whole mart from the raw sources; fails when a check after the load fails.
 
-    The calendar must have been seeded before.
+    The calendar must have been seeded before. ``max_rows`` loads a sample, the first rows of
+    each source in column order. ``specs`` replaces dimension declarations, for instance to
+    take another region column or to give a normalised segment.
     """
     mart.create()
     calendar_table = calendar.require_calendar(mart.read("dim_tiempo"))
     stamp = loaded_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+    if max_rows is not None:
+        raw = {key: first_rows(df, max_rows, df.columns) for key, df in raw.items()}
     ruled = ruled_frames(raw, calendar.business_days(calendar_table))
-    load_dimensions(mart, ruled)
-    load_facts(mart, ruled, stamp)
-    tables = mart.read_all()
+    load_dimensions(mart, ruled, specs)
+    load_facts(mart, ruled, stamp, specs)
     report = validation_report(mart)
-    if check:
-        require_passed(report)
+    require_passed(report)
     return LoadResult(
-        tables,
+        mart.read_all(),
         {name: df.drop(ROW) for name, df in ruled.items()},
-        stage_counts(mart.spark, raw, ruled, mart),
+        stage_counts(raw, ruled, mart),
         report,
     )

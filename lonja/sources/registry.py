@@ -24,8 +24,13 @@ class Source:
 
 
 def landing_sources(root: str, fmt: str = "parquet") -> dict[str, Source]:
-    """The sales, budget, contact and holiday sources below one landing folder."""
-    options = (("header", "true"),) if fmt == "csv" else ()
+    """The sales, budget, contact and holiday sources below one landing folder.
+
+    CSV is read strictly: the header must match the schema, and a value that does not fit its
+    type fails the job instead of becoming null.
+    """
+    strict = (("header", "true"), ("enforceSchema", "false"), ("mode", "FAILFAST"))
+    options = strict if fmt == "csv" else ()
     schemas = {**LANDING, "festivos": HOLIDAYS}
     return {
         key: Source(f"{root.rstrip('/')}/{key}", schema, fmt, options)
@@ -54,4 +59,4 @@ def read_all_sources(spark: SparkSession, sources: Mapping[str, Source]) -> dict
 
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in a stated order; a frame itself has none."""
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order_by]).limit(n)
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order_by]).limit(n)

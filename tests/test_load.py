@@ -168,3 +168,73 @@ def test_empty_facts_pass_the_reference_check(spark, result):
     assert report["miembro sk=0 en dim_region"] is False
     with pytest.raises(RuntimeError, match="check"):
         require_passed(validation_report(empty))
+
+
+def test_declarations_and_sample_size_can_be_replaced(spark, mart, result, raw):
+    from dataclasses import replace
+
+    from lonja.operators.dimensions import TEXT_DIMENSIONS
+
+    region, segment = TEXT_DIMENSIONS["dim_region"], TEXT_DIMENSIONS["dim_segmento"]
+    specs = {
+        **TEXT_DIMENSIONS,
+        "dim_region": replace(region, sources={**region.sources, "ventas": ("d_division",)}),
+        "dim_segmento": replace(
+            segment, attributes={**segment.attributes, "segmento_normalizado": "upper(segmento_nk)"}
+        ),
+        "dim_jerarquia_comercial": replace(
+            TEXT_DIMENSIONS["dim_jerarquia_comercial"], null_keys="all"
+        ),
+    }
+    other = new_mart(spark)
+    other.create()
+    none = spark.createDataFrame([], "date string, name_es string, _src_row int")
+    load.seed_calendar(other, cal.year_range(spark, 2026, 2026), none, "_src_row")
+    more = landing(spark, "registros", [{"SEGMENTO": "bajo"}])
+    sources = {**raw, "registros": raw["registros"].unionByName(more)}
+    load.run_load(other, sources, specs=specs)
+    assert other.read("fact_ventas").where("sk_region = 0").count() == 5
+    assert other.read("fact_ventas").where("sk_jerarquia = 0").count() == 5
+    labels = other.read("dim_segmento").where("sk_segmento > 0").collect()
+    assert [r["segmento_normalizado"] for r in labels] == ["BAJO"]
+    sampled = load.run_load(other, sources, max_rows=2)
+    assert sampled.tables["fact_presupuesto"].count() == 2
+
+
+def test_the_calendar_grows_and_keeps_its_keys(spark, mart, result):
+    before = {r["fecha"]: r["sk_tiempo"] for r in mart.read("dim_tiempo").collect()}
+    named = spark.createDataFrame([("2026-05-01", "Trabajo", 1)], "date string, name_es string, _src_row int")
+    load.seed_calendar(mart, cal.year_range(spark, 2025, 2026), named, "_src_row")
+    after = {r["fecha"]: r for r in mart.read("dim_tiempo").collect()}
+    assert len(after) == 1 + 365 + 365
+    assert {d: after[d]["sk_tiempo"] for d in before} == before
+    assert [r["nombre_festivo"] for r in after.values() if r["es_festivo"]] == ["Trabajo"]
+
+
+def test_command_line(spark, raw, tmp_path):
+    from lonja.plans import job
+    from lonja.sources.registry import landing_sources
+
+    sources = landing_sources(str(tmp_path / "landing"), "csv")
+    for key, df in raw.items():
+        df.write.option("header", "true").csv(sources[key].path)
+    festivos = spark.createDataFrame([("2026-01-01", "Año")], "date string, name_es string")
+    festivos.write.option("header", "true").csv(sources["festivos"].path)
+    shared = ["--database", "lonja_cli", "--location", str(tmp_path / "mart")]
+    shared += ["--landing", str(tmp_path / "landing"), "--format", "csv"]
+    assert job.main(["load", *shared]) == 1
+    assert job.main(["calendar", *shared, "--start-year", "2026", "--end-year", "2025"]) == 1
+    assert job.main(["calendar", *shared, "--start-year", "2026", "--end-year", "2026"]) == 0
+    assert job.main(["load", *shared]) == 0
+    assert spark.table("lonja_cli.fact_ventas").count() == 5
+
+
+def test_csv_that_breaks_its_schema_fails(spark, tmp_path):
+    from lonja.sources.registry import landing_sources, read_source
+
+    sources = landing_sources(str(tmp_path), "csv")
+    headers = LANDING["presupuesto"].names
+    text = spark.createDataFrame([("enero", *["x"] * 10, "1", "1", "2")], headers)
+    text.write.option("header", "true").csv(sources["presupuesto"].path)
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_source(spark, sources, "presupuesto").collect()
