@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from lonja.functions.text import key_text
@@ -266,6 +266,26 @@ def number_new_members(
     )
 
 
+def merge_report(
+    keys: DataFrame,
+    fresh: DataFrame,
+    existing: Mapping[str, DataFrame],
+    specs: Mapping[str, Dimension] = TEXT_DIMENSIONS,
+) -> DataFrame:
+    """Inserted, updated and skipped (sk 0) members per dimension of a load."""
+    known = reduce(
+        DataFrame.unionByName,
+        [_as_parts(existing[table], spec) for table, spec in specs.items()],
+    )
+    whole = ("_dim", *_PARTS)
+    met = known.join(_prefixed(keys, whole), _same_key(whole), "left_semi")
+    action = F.when(F.col("_sk") == 0, "skipped").otherwise("updated").alias("_action")
+    actions = met.select("_dim", action).unionByName(
+        fresh.select("_dim", F.lit("inserted").alias("_action"))
+    )
+    return merge_counts(actions.groupBy(F.col("_dim").alias("tabla")))
+
+
 def _as_parts(dim: DataFrame, spec: Dimension) -> DataFrame:
     values = [F.col(c) for c in spec.key]
     values += [F.lit(None).cast("string")] * (len(_PARTS) - len(values))
@@ -347,7 +367,7 @@ def merge_members(
     return merged.unionByName(given) if given is not None else merged
 
 
-def merge_counts(merged: DataFrame) -> DataFrame:
+def merge_counts(merged: DataFrame | GroupedData) -> DataFrame:
     """Inserted, updated and skipped members of a merge."""
     return merged.agg(
         *[

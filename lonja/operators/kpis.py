@@ -8,6 +8,7 @@ attributes of shared dimensions.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,36 +38,64 @@ def label_of(table: str, attribute: str) -> Column:
     return F.when(sk == 0, UNKNOWN_LABEL).otherwise(F.col(attribute))
 
 
-def _by_attribute(sums: DataFrame, tables: Tables, table: str, attribute: str) -> DataFrame:
+@dataclass(frozen=True)
+class Attribute:
+    """One column of a dimension, by which a report is split."""
+
+    table: str
+    column: str
+
+    @property
+    def sk(self) -> str:
+        return ALL_DIMENSIONS[self.table].sk
+
+
+def _labelled(sums: DataFrame, tables: Tables, by: Attribute | None) -> DataFrame:
     """Replace the surrogate key of summed rows by an attribute of its dimension."""
-    sk = ALL_DIMENSIONS[table].sk
-    labels = tables[table].select(sk, label_of(table, attribute).alias("atributo"))
-    return sums.join(labels, sk, "left").drop(sk)
+    if by is None:
+        return sums
+    labels = tables[by.table].select(by.sk, label_of(by.table, by.column).alias("atributo"))
+    return sums.join(labels, by.sk, "left").drop(by.sk)
+
+
+def _keys(by: Attribute | None, *more: str) -> list[str]:
+    return [*([by.sk] if by else []), *more]
+
+
+def _groups(by: Attribute | None, *more: str) -> list[str]:
+    return [*(["atributo"] if by else []), *more]
+
 
+def sales_parts(tables: Tables, by: Attribute | None = None, *keys: str) -> DataFrame:
+    """All and valid sales per surrogate key, labelled but not yet summed by label.
 
-def sales_sums(tables: Tables, *keys: str) -> DataFrame:
-    """All and valid sales per key; validity comes from its four-row dimension."""
-    by_key = (
+    Validity comes from its four-row dimension.
+    """
+    sums = (
         tables["fact_ventas"]
-        .groupBy(*keys, "sk_validez")
-        .agg(F.sum("valor_antes_iva").alias("_valor"))
+        .groupBy(*_keys(by, *keys), "sk_validez")
+        .agg(F.sum("valor_antes_iva").alias("ventas"))
     )
     validity = F.broadcast(tables["dim_validez_venta"].select("sk_validez", "es_venta_valida"))
-    return (
-        by_key.join(validity, "sk_validez", "left")
-        .groupBy(*keys)
-        .agg(
-            F.sum("_valor").cast(AMOUNT).alias("ventas"),
-            F.coalesce(F.sum(F.when(F.col("es_venta_valida"), F.col("_valor"))), F.lit(0))
-            .cast(AMOUNT)
-            .alias("ventas_validas"),
-        )
-    )
+    valid = F.when(F.col("es_venta_valida"), F.col("ventas")).otherwise(F.lit(0))
+    rated = sums.join(validity, "sk_validez", "left").withColumn("ventas_validas", valid)
+    return _labelled(rated.drop("sk_validez", "es_venta_valida"), tables, by)
+
+
+def sales_sums(tables: Tables, by: Attribute | None = None, *keys: str) -> DataFrame:
+    return _summed(sales_parts(tables, by, *keys), _groups(by, *keys), "ventas", "ventas_validas")
+
+
+def budget_parts(
+    tables: Tables, by: Attribute | None = None, *keys: str, measure: str = "tyt"
+) -> DataFrame:
+    """Budget per surrogate key, labelled but not yet summed by label."""
+    fact = tables["fact_presupuesto"].groupBy(*_keys(by, *keys))
+    return _labelled(fact.agg(F.sum(measure).alias("presupuesto")), tables, by)
 
 
-def budget_sums(tables: Tables, *keys: str, measure: str = "tyt") -> DataFrame:
-    fact = tables["fact_presupuesto"]
-    return fact.groupBy(*keys).agg(F.sum(measure).cast(AMOUNT).alias("presupuesto"))
+def _summed(parts: DataFrame, groups: list[str], *measures: str) -> DataFrame:
+    return parts.groupBy(*groups).agg(*[F.sum(m).cast(AMOUNT).alias(m) for m in measures])
 
 
 def total_sales(tables: Tables) -> DataFrame:
@@ -78,19 +107,32 @@ def valid_sales(tables: Tables) -> DataFrame:
 
 
 def total_budget(tables: Tables, measure: str = "tyt") -> DataFrame:
-    return budget_sums(tables, measure=measure)
+    return budget_parts(tables, measure=measure).select(F.col("presupuesto").cast(AMOUNT))
+
+
+def _stacked(tables: Tables, by: Attribute | None, measure: str) -> DataFrame:
+    """Valid sales and budget summed per label.
+
+    Both facts are summed by key, labelled, stacked and summed by label: the same rows as a
+    full outer join with null equal to null, in one shuffle of summed rows.
+    """
+    none, groups = F.lit(0).cast(AMOUNT), _groups(by)
+    sold = sales_parts(tables, by).select(*groups, "ventas_validas", none.alias("presupuesto"))
+    planned = budget_parts(tables, by, measure=measure).select(
+        *groups, none.alias("ventas_validas"), "presupuesto"
+    )
+    return _summed(sold.unionByName(planned), groups, "ventas_validas", "presupuesto")
+
+
+def _rated(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("cumplimiento", ratio("ventas_validas", "presupuesto")).withColumn(
+        "faltante", shortfall()
+    )
 
 
 def overall_compliance(tables: Tables, measure: str = "tyt") -> DataFrame:
     """Valid sales, budget, compliance and shortfall in total."""
-    # Both sides are one row.
-    both = valid_sales(tables).crossJoin(total_budget(tables, measure))
-    return both.select(
-        "ventas_validas",
-        "presupuesto",
-        ratio("ventas_validas", "presupuesto").alias("cumplimiento"),
-        shortfall().alias("faltante"),
-    )
+    return _rated(_stacked(tables, None, measure))
 
 
 def shortfall() -> Column:
@@ -102,35 +144,12 @@ def shortfall() -> Column:
 def compliance_by(
     tables: Tables, table: str, attribute: str, measure: str = "tyt"
 ) -> DataFrame:
-    """Valid sales against budget per attribute value, ranked by compliance.
-
-    Both facts are summed to the attribute, stacked and summed again: the same rows as a full
-    outer join with null equal to null, in one shuffle of summed rows.
-    """
-    sk = ALL_DIMENSIONS[table].sk
-    none = F.lit(0).cast(AMOUNT)
-    sold = _by_attribute(sales_sums(tables, sk), tables, table, attribute).select(
-        "atributo", "ventas_validas", none.alias("presupuesto")
-    )
-    planned = _by_attribute(
-        budget_sums(tables, sk, measure=measure), tables, table, attribute
-    ).select("atributo", none.alias("ventas_validas"), "presupuesto")
-    report = (
-        sold.unionByName(planned)
-        .groupBy("atributo")
-        .agg(
-            F.sum("ventas_validas").cast(AMOUNT).alias("ventas_validas"),
-            F.sum("presupuesto").cast(AMOUNT).alias("presupuesto"),
-        )
-        .withColumn("cumplimiento", ratio("ventas_validas", "presupuesto"))
-        .withColumn("faltante", shortfall())
-        .withColumn(
-            "estado",
-            F.when(F.col("cumplimiento") >= 1, "sobrecumple").when(
-                F.col("cumplimiento") < 1, "incumple"
-            ),
-        )
+    """Valid sales against budget per attribute value, ranked by compliance."""
+    sums = _stacked(tables, Attribute(table, attribute), measure)
+    state = F.when(F.col("cumplimiento") >= 1, "sobrecumple").when(
+        F.col("cumplimiento") < 1, "incumple"
     )
+    report = _rated(sums).withColumn("estado", state)
     order = [F.col("cumplimiento").desc_nulls_last(), F.col("atributo").asc_nulls_last()]
     return ordinal(report, order, "puesto", tables[table].count())
 
@@ -140,18 +159,18 @@ def best_by_compliance(tables: Tables, table: str, attribute: str) -> DataFrame:
     return compliance_by(tables, table, attribute).where("puesto = 1")
 
 
-def contact_sums(tables: Tables, *keys: str) -> DataFrame:
-    """Delivered records, attempts and contacts by type per key."""
-    by_key = (
+def contact_sums(tables: Tables, by: Attribute | None = None) -> DataFrame:
+    """Delivered records, attempts and contacts by type, in total or per attribute value."""
+    sums = (
         tables["fact_gestion_tmk"]
-        .groupBy(*keys, "sk_tipo_contacto")
+        .groupBy(*_keys(by), "sk_tipo_contacto")
         .agg(F.sum("cantidad").alias("_cantidad"), F.sum("intentos").alias("_intentos"))
     )
     kinds = tables["dim_tipo_contacto"].select("sk_tipo_contacto", "tipo_contacto")
     kind, amount = F.col("tipo_contacto"), F.col("_cantidad")
     return (
-        by_key.join(kinds, "sk_tipo_contacto", "left")
-        .groupBy(*keys)
+        _labelled(sums.join(kinds, "sk_tipo_contacto", "left"), tables, by)
+        .groupBy(*_groups(by))
         .agg(
             F.sum(amount).alias("registros"),
             F.sum("_intentos").cast(AMOUNT).alias("intentos"),
@@ -181,13 +200,7 @@ def contact_totals(tables: Tables) -> DataFrame:
 
 def contacts_by(tables: Tables, table: str, attribute: str) -> DataFrame:
     """All contact KPIs per attribute value."""
-    sk = ALL_DIMENSIONS[table].sk
-    labelled = _by_attribute(contact_sums(tables, sk), tables, table, attribute)
-    sums = labelled.groupBy("atributo").agg(
-        *[F.sum(c).alias(c) for c in ("registros", "efectivos", "no_efectivos")],
-        F.sum("intentos").cast(AMOUNT).alias("intentos"),
-    )
-    return with_contact_ratios(sums)
+    return with_contact_ratios(contact_sums(tables, Attribute(table, attribute)))
 
 
 def top_allies(tables: Tables, n: int = 5) -> DataFrame:
@@ -230,10 +243,9 @@ def _dated(sums: DataFrame, tables: Tables, column: str) -> DataFrame:
 
 def daily_sales(tables: Tables, table: str, attribute: str) -> DataFrame:
     """Valid sales per attribute value and day, as ``(atributo, fecha, ventas)``."""
-    sk = ALL_DIMENSIONS[table].sk
-    sums = _by_attribute(sales_sums(tables, sk, "sk_tiempo"), tables, table, attribute)
+    parts = sales_parts(tables, Attribute(table, attribute), "sk_tiempo")
     return (
-        _dated(sums, tables, "fecha")
+        _dated(parts, tables, "fecha")
         .groupBy("atributo", "fecha")
         .agg(F.sum("ventas_validas").cast(AMOUNT).alias("ventas"))
     )
@@ -243,10 +255,9 @@ def monthly_budget(
     tables: Tables, table: str, attribute: str, measure: str = "tyt"
 ) -> DataFrame:
     """Budget per attribute value and month, as ``(atributo, periodo_yyyymm, meta_mensual)``."""
-    sk = ALL_DIMENSIONS[table].sk
-    sums = budget_sums(tables, sk, "sk_tiempo", measure=measure)
+    parts = budget_parts(tables, Attribute(table, attribute), "sk_tiempo", measure=measure)
     return (
-        _dated(_by_attribute(sums, tables, table, attribute), tables, "periodo_yyyymm")
+        _dated(parts, tables, "periodo_yyyymm")
         .groupBy("atributo", "periodo_yyyymm")
         .agg(F.sum("presupuesto").cast(AMOUNT).alias("meta_mensual"))
     )

@@ -25,10 +25,11 @@ CONCURRENT_WRITES = 8
 
 @dataclass
 class LoadResult:
-    """Written tables, the staged ruled frames, row counts per stage and the check report."""
+    """Written tables, staged ruled frames, merge and stage counts, and the check report."""
 
     tables: dict[str, DataFrame]
     ruled: dict[str, DataFrame]
+    merges: DataFrame
     stages: DataFrame
     report: DataFrame
 
@@ -64,8 +65,8 @@ def load_dimensions(
     mart: MartTables,
     ruled: Mapping[str, DataFrame],
     specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
-) -> None:
-    """Merge the members of all dimensions into the mart."""
+) -> DataFrame:
+    """Merge the members of all dimensions into the mart and report what the merge did."""
     existing = {
         table: dims.ensure_seeds(mart.read(table), table)
         for table in DIMENSIONS
@@ -86,6 +87,7 @@ def load_dimensions(
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(merge, existing))
+    return dims.merge_report(keys, fresh, existing, specs)
 
 
 def load_facts(
@@ -146,13 +148,14 @@ def run_load(
     if max_rows is not None:
         raw = {key: first_rows(df, max_rows, df.columns) for key, df in raw.items()}
     ruled = ruled_frames(raw, calendar.business_days(calendar_table))
-    load_dimensions(mart, ruled, specs)
+    merges = load_dimensions(mart, ruled, specs)
     load_facts(mart, ruled, stamp, specs)
     report = validation_report(mart)
     require_passed(report)
     return LoadResult(
         mart.read_all(),
         {name: df.drop(ROW) for name, df in ruled.items()},
+        merges,
         stage_counts(raw, ruled, mart),
         report,
     )

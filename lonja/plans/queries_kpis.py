@@ -275,7 +275,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     tables = star(spark, sf)
-    sums = kpis.sales_sums(tables, "sk_region", "sk_tiempo").where("ventas_validas <> 0")
+    sums = kpis.sales_sums(tables, None, "sk_region", "sk_tiempo").where("ventas_validas <> 0")
     business = tables["dim_tiempo"].where("fecha is not null and es_habil").select("sk_tiempo")
     off = sums.join(business, "sk_tiempo", "left_anti")
     return off.agg(

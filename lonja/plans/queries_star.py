@@ -81,6 +81,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
+@query(
+    "e6_merge_report",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS tabla, count(*) FILTER ({d.sk} > 0) AS inserted, 0 AS updated,
+        0 AS skipped FROM {t}"""
+        for t, d in dims.TEXT_DIMENSIONS.items()
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return loaded(spark, sf)[1].merges
+
+
 def _fact_query(table: str, name: str, amounts: tuple[str, ...]) -> None:
     spec = FACT_SPECS[table]
     as_double = ", ".join(f"CAST({a} AS DOUBLE) AS {a}" for a in amounts)

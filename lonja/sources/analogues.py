@@ -126,7 +126,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly budget crosses, with a second allocation for one month and region."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -166,10 +166,18 @@ def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("unidad_de_gestion") != "FURNITURE", _times("terminales", "1.25")
         ).alias("t_t"),
     )
-    again = measured.where("mes = 199603 and region = 'ASIA'").withColumns(
-        {m: _times(m, "0.1") for m in ("terminales", "tecnologia", "t_t")}
+    twice = F.expr("mes = 199603 and region = 'ASIA'")
+    copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (
+        measured.withColumn("_copy", F.explode(copies))
+        .withColumns(
+            {
+                m: F.when(F.col("_copy") == 2, _times(m, "0.1")).otherwise(F.col(m))
+                for m in ("terminales", "tecnologia", "t_t")
+            }
+        )
+        .drop("_copy")
     )
-    return measured.unionByName(again)
 
 
 def _times(column: str, factor: str) -> Column:

@@ -125,8 +125,11 @@ def test_a_second_load_keeps_keys_and_content(mart, result, raw):
     dimensions = [t for t in STAR if t.startswith("dim_")]
     before = {t: sorted(map(str, mart.read(t).collect())) for t in dimensions}
     measured = {t: facts(mart, t) for t in STAR if t.startswith("fact_")}
-    load.run_load(mart, raw)
+    again = load.run_load(mart, raw)
     assert {t: sorted(map(str, mart.read(t).collect())) for t in dimensions} == before
+    merges = {r["tabla"]: tuple(r)[1:] for r in again.merges.collect()}
+    assert merges["dim_aliado"] == (0, 2, 0)
+    assert merges["dim_tipo_contacto"] == (0, 1, 1)
     assert {t: facts(mart, t) for t in measured} == measured
 
 
