@@ -40,25 +40,34 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """Type, non-null and null rows, null share and distinct values of each column."""
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
-    dtype = reduce(
-        lambda chain, c: chain.when(F.col("columna") == c, types[c]),
-        columns[1:],
-        F.when(F.col("columna") == columns[0], types[columns[0]]),
-    )
     filled = F.col("valor").isNotNull()
-    return (
+    counted = (
         value_counts(df, columns)
         .groupBy("columna")
         .agg(
-            F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("no_nulos"),
-            F.coalesce(F.sum(F.when(~filled, F.col("n"))), F.lit(0)).alias("nulos"),
-            F.count("valor").alias("distintos"),
+            F.sum(F.when(filled, F.col("n"))).alias("_filled"),
+            F.sum(F.when(~filled, F.col("n"))).alias("_null"),
+            F.count("valor").alias("_distinct"),
+        )
+    )
+    zero = F.lit(0).cast("bigint")
+    # One row per column on either side; an empty table still lists its columns.
+    names = df.sparkSession.createDataFrame(
+        [(c, types[c]) for c in columns], "columna string, tipo string"
+    ).coalesce(1)
+    return (
+        names.join(F.broadcast(counted), "columna", "left")
+        .select(
+            "columna",
+            "tipo",
+            F.coalesce("_filled", zero).alias("no_nulos"),
+            F.coalesce("_null", zero).alias("nulos"),
+            F.coalesce("_distinct", zero).alias("distintos"),
         )
         .withColumn(
             "pct_nulos",
-            F.round(F.lit(100.0) * F.col("nulos") / (F.col("nulos") + F.col("no_nulos")), 2),
+            F.round(F.try_divide(100.0 * F.col("nulos"), F.col("nulos") + F.col("no_nulos")), 2),
         )
-        .withColumn("tipo", dtype)
     )
 
 
@@ -415,7 +424,7 @@ def share(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """Percentage of rows that meet each condition; a null condition counts as not met."""
     return df.agg(
         *[
-            F.round(F.lit(100.0) * F.count_if(condition) / F.count("*"), 2).alias(name)
+            F.round(F.try_divide(100.0 * F.count_if(condition), F.count("*")), 2).alias(name)
             for name, condition in conditions.items()
         ]
     )

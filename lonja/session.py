@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
-# Runtime settings the jobs are planned for; a value the user has set stays.
+# Runtime settings the jobs are planned for; a value given at session start stays.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

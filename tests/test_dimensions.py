@@ -1,3 +1,4 @@
+from contextlib import contextmanager
 from dataclasses import replace
 
 import pytest
@@ -143,34 +144,50 @@ def test_lookup_is_null_safe_and_a_miss_gives_zero(spark):
     }
 
 
-def test_lookup_without_broadcast_gives_the_same_rows(spark, tmp_path):
-    """Beyond the broadcast size, with one key holding a third of the rows."""
+@contextmanager
+def settings(spark, **values):
+    values = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_lookup_beyond_the_broadcast_size_splits_a_hot_key(spark, tmp_path):
+    """One key holds a third of the rows, null another third."""
     spark.range(2000).selectExpr("id as sk", "concat('k', id) as nk").write.parquet(f"{tmp_path}/d")
     dim = spark.read.parquet(f"{tmp_path}/d")
-    df = spark.range(30000).selectExpr(
-        "id", "case when id % 3 = 0 then 'k7' when id % 3 = 1 then null else concat('k', id % 4000) end as k"
+    df = spark.range(0, 200000, 1, 8).selectExpr(
+        "id",
+        "case id % 3 when 0 then 'k7' when 1 then null else concat('k', id % 4000) end as k",
     )
 
     def result():
-        return lookup_key(df, dim, "sk", {"nk": F.col("k")})
+        found = lookup_key(df, dim, "sk", {"nk": F.col("k")})
+        return found.groupBy("sk").agg(F.count("*"), F.sum("id"))
 
     small = result()
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    want = small.groupBy("sk").count().collect()
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    want = sorted(map(tuple, small.collect()))
+    assert "BroadcastHashJoin" in final_plan(small)
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="50000",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="50000",
+        adaptive__skewJoin__skewedPartitionFactor="1.2",
+    ):
         large = result()
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert sorted(map(tuple, large.groupBy("sk").count().collect())) == sorted(map(tuple, want))
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        assert sorted(map(tuple, large.collect())) == want
+        assert "SortMergeJoin(skew=true)" in final_plan(large)
 
 
 @pytest.mark.parametrize("parts", [1, 7])

@@ -35,6 +35,9 @@ def test_column_profile(df, data):
         assert (row["no_nulos"], row["nulos"]) == (len(filled), len(data) - len(filled))
         assert row["distintos"] == len(set(filled))
         assert row["pct_nulos"] == round(100 * (len(data) - len(filled)) / len(data), 2)
+    empty = profiling.profile_columns(df.where("false")).collect()
+    assert sorted(r["columna"] for r in empty) == sorted(COLUMNS)
+    assert {(r["no_nulos"], r["distintos"], r["pct_nulos"]) for r in empty} == {(0, 0, None)}
     approx = {r["columna"]: r["distintos"] for r in profiling.profile_columns_approx(df).collect()}
     assert approx["a"] == 2 and approx["c"] == 0
 
