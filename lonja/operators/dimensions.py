@@ -14,7 +14,7 @@ from lonja.functions.text import key_text
 from lonja.operators.clean import drop_duplicates_by
 from lonja.sources.mart_tables import conformed
 from lonja.sources.schemas import SEEDS, STAR
-from lonja.sources.staging import ordinal, stage_numbered
+from lonja.sources.staging import literal_rows, ordinal, stage_numbered
 
 
 @dataclass(frozen=True)
@@ -168,8 +168,8 @@ _PARTS = ("_k1", "_k2", "_k3")
 
 
 def seed_rows(spark: SparkSession, table: str) -> DataFrame:
-    """The fixed members of a dimension: one to four rows in one partition."""
-    return spark.createDataFrame(SEEDS[table], STAR[table]).coalesce(1)
+    """The fixed members of a dimension: one to four rows."""
+    return literal_rows(spark, SEEDS[table], STAR[table])
 
 
 def ensure_seeds(existing: DataFrame, table: str) -> DataFrame:

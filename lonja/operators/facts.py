@@ -17,11 +17,12 @@ from lonja.sources.staging import ROW
 
 @dataclass(frozen=True)
 class Fact:
-    """Source, date expression, measures (SQL expressions) and row key of one fact."""
+    """Source, its columns, date expression, measures (SQL expressions) and key of one fact."""
 
     table: str
     sk: str
     source: str
+    columns: tuple[str, ...]
     date: str
     measures: Mapping[str, str]
 
@@ -39,6 +40,7 @@ FACT_SPECS: dict[str, Fact] = {
             "fact_ventas",
             "sk_venta",
             "ventas",
+            ("fecha_venta", "sk_validez", "codigo_factura", "valor_antes_de_iva", "cuotas"),
             "fecha_venta",
             {
                 "sk_validez": f"coalesce(sk_validez, {NO_INVOICE})",
@@ -51,6 +53,7 @@ FACT_SPECS: dict[str, Fact] = {
             "fact_presupuesto",
             "sk_presupuesto",
             "presupuesto",
+            ("mes", "terminales", "tecnologia", "t_t"),
             "mes",
             {
                 "terminales": "coalesce(terminales, 0)",
@@ -62,6 +65,7 @@ FACT_SPECS: dict[str, Fact] = {
             "fact_gestion_tmk",
             "sk_gestion",
             "registros",
+            ("fecha_gestion", "periodo", "cantidad", "intentos"),
             "coalesce(fecha_gestion, periodo)",
             {"cantidad": "coalesce(cantidad, 0)", "intentos": "intentos"},
         ),
@@ -79,6 +83,16 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
 ]
 
 
+def used_columns(
+    source: str, specs: Mapping[str, Dimension] = TEXT_DIMENSIONS
+) -> list[str]:
+    """Columns of a source that some fact or dimension reads."""
+    used = [c for fact in FACT_SPECS.values() if fact.source == source for c in fact.columns]
+    for spec in specs.values():
+        used += [c for c in spec.sources.get(source, ()) if c]
+    return list(dict.fromkeys(used))
+
+
 def lookup_key(df: DataFrame, dim: DataFrame, sk: str, pairs: Mapping[str, Column]) -> DataFrame:
     """Add the surrogate key of the dimension row whose key equals the given expressions.
 

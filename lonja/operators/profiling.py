@@ -11,9 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lonja.functions.text import strip
-from lonja.sources.staging import stage, stage_numbered
+from lonja.sources.staging import literal_rows, stage, stage_numbered
 
 # Limits of the profile and of the audits.
 TOP_VALUES = 10
@@ -52,9 +53,8 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
     zero = F.lit(0).cast("bigint")
     # One row per column on either side; an empty table still lists its columns.
-    names = df.sparkSession.createDataFrame(
-        [(c, types[c]) for c in columns], "columna string, tipo string"
-    ).coalesce(1)
+    pair = StructType().add("columna", "string").add("tipo", "string")
+    names = literal_rows(df.sparkSession, [(c, types[c]) for c in columns], pair)
     return (
         names.join(F.broadcast(counted), "columna", "left")
         .select(
@@ -119,17 +119,24 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 def sample_values(
     df: DataFrame, order_by: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """First fifteen non-null values of each column in the given row order."""
-    columns = list(columns or df.columns)
-    keys = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
-    melted = df.select(*keys, *_as_text(columns)).unpivot(
-        [f"_o{i}" for i in range(len(keys))], columns, "columna", "valor"
-    )
-    order = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(keys))]
-    picked = _limited(
-        melted.where("valor is not null"), ["columna"], [*order, F.col("valor")], SAMPLE_VALUES
-    )
-    return picked.select("columna", "puesto", "valor")
+    """First fifteen non-null values of each column in the given row order.
+
+    Each column is a top-n of its own that reads just that column and the order, and holds n
+    rows per task; sorting all values of all columns together would cost far more.
+    """
+    parts = []
+    for column in columns or df.columns:
+        value = F.col(column).cast("string").alias("valor")
+        keys = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+        order = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(keys))] + [F.col("valor")]
+        first = df.select(*keys, value).where("valor is not null").orderBy(*order)
+        place = F.row_number().over(Window.partitionBy("columna").orderBy(*order))
+        parts.append(
+            first.limit(SAMPLE_VALUES)
+            .withColumn("columna", F.lit(column))
+            .select("columna", place.cast("bigint").alias("puesto"), "valor")
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def table_shape(df: DataFrame) -> DataFrame:

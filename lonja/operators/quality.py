@@ -7,12 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from lonja.operators.dimensions import ALL_DIMENSIONS, VALIDITY
 from lonja.operators.facts import FOREIGN_KEYS
 from lonja.sources.mart_tables import MartTables
 from lonja.sources.schemas import DIMENSIONS, FACTS, STAR
+from lonja.sources.staging import literal_rows
 
 # The validity domain has four rows; totals may differ from their parts by a cent.
 VALIDITY_ROWS = 4
@@ -77,9 +78,8 @@ def orphan_counts(tables: Tables) -> DataFrame:
     )
     # A line per foreign key, also for an empty fact.
     spark = tables[FACTS[0]].sparkSession
-    lines = spark.createDataFrame(
-        [(fact, key) for fact, key, _ in FOREIGN_KEYS], "hecho string, fk string"
-    ).coalesce(1)
+    pair = StructType().add("hecho", "string").add("fk", "string")
+    lines = literal_rows(spark, [(fact, key) for fact, key, _ in FOREIGN_KEYS], pair)
     return (
         lost.select("hecho", "fk", "_n")
         .unionByName(lines.withColumn("_n", F.lit(0).cast("bigint")))
@@ -159,18 +159,16 @@ def _check(condition: Column, name: Column, detail: Column) -> list[Column]:
     return [name.alias("chequeo"), condition.alias("ok"), detail.alias("detalle")]
 
 
-def _fact_line(spark: SparkSession, name: str, ok: bool, detail: str = "") -> DataFrame:
-    return spark.range(0, 1, 1, 1).select(*_check(F.lit(ok), F.lit(name), F.lit(detail)))
+_LINE = StructType().add("chequeo", "string").add("ok", "boolean").add("detalle", "string")
 
 
 def validation_report(mart: MartTables) -> DataFrame:
     """``(chequeo, ok, detalle)``: the 38 checks after a load, the last one a summary."""
     spark = mart.spark
     present = {name: mart.exists(name) for name in (*DIMENSIONS, *FACTS)}
-    lines = [
-        _fact_line(spark, "esquema", spark.catalog.databaseExists(mart.database)),
-        *[_fact_line(spark, f"existe {name}", ok) for name, ok in present.items()],
-    ]
+    seen = [("esquema", spark.catalog.databaseExists(mart.database), "")]
+    seen += [(f"existe {name}", ok, "") for name, ok in present.items()]
+    lines = [literal_rows(spark, seen, _LINE)]
     if all(present.values()):
         lines += _content_checks(mart.read_all())
     checks = _stack(lines)
@@ -221,7 +219,8 @@ def _content_checks(tables: Tables) -> list[DataFrame]:
             )
         )
     )
-    channel = _fact_line(spark, "fact_gestion_tmk sin sk_canal", has_no_channel(tables))
+    without = ("fact_gestion_tmk sin sk_canal", has_no_channel(tables), "")
+    channel = literal_rows(spark, [without], _LINE)
     return [fact_rows, unknown, domain, orphans, channel]
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators import calendar, clean, rules
 from lonja.operators import dimensions as dims
-from lonja.operators.facts import FACT_SPECS, build_fact
+from lonja.operators.facts import FACT_SPECS, build_fact, used_columns
 from lonja.operators.quality import require_passed, validation_report
 from lonja.sources.mart_tables import MartTables, conformed
 from lonja.sources.registry import first_rows
@@ -44,21 +44,29 @@ def seed_calendar(mart: MartTables, years: DataFrame, holidays: DataFrame, order
 
 
 def ruled_frames(
-    raw: Mapping[str, DataFrame], business_days: DataFrame
+    raw: Mapping[str, DataFrame],
+    business_days: DataFrame,
+    specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
 ) -> dict[str, DataFrame]:
     """Cleaned and ruled sources, each written once with row numbers.
 
     The staged table is read by the dimensions and by its fact, and gives the fact its keys, so
-    the joins, the parse and the dedup of a source run one time.
+    the joins, the parse and the dedup of a source run one time. It holds the columns that are
+    read later; the dedup before it compares all of them.
     """
     ruled = {
         "ventas": rules.sales_rules(clean.clean_sales(raw["ventas"])),
         "presupuesto": rules.budget_rules(clean.clean_budget(raw["presupuesto"]), business_days),
         "registros": rules.contact_rules(clean.clean_contacts(raw["registros"])),
     }
+
+    def staged(item: tuple[str, DataFrame]) -> DataFrame:
+        source, df = item
+        used = [c for c in used_columns(source, specs) if c in df.columns]
+        return stage_numbered(df.select(*used), source)
+
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        staged = pool.map(lambda item: stage_numbered(item[1], item[0]), ruled.items())
-        return dict(zip(ruled, staged))
+        return dict(zip(ruled, pool.map(staged, ruled.items())))
 
 
 def load_dimensions(
@@ -147,7 +155,7 @@ def run_load(
     stamp = loaded_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
     if max_rows is not None:
         raw = {key: first_rows(df, max_rows, df.columns) for key, df in raw.items()}
-    ruled = ruled_frames(raw, calendar.business_days(calendar_table))
+    ruled = ruled_frames(raw, calendar.business_days(calendar_table), specs)
     merges = load_dimensions(mart, ruled, specs)
     load_facts(mart, ruled, stamp, specs)
     report = validation_report(mart)

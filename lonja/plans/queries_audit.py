@@ -373,16 +373,36 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.measure_stats(src.budget(spark, sf), _MEASURES)
 
 
+@query(
+    "i15_contact_stats",
+    " UNION ALL ".join(_STATS.format(m, "contacts") for m in ("cantidad", "intentos")),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.measure_stats(src.contacts(spark, sf), ["cantidad", "intentos"])
+
+
+_QUARTILES = """SELECT '{0}' AS medida, round(quantile_cont(CAST({0} AS DOUBLE), 0.25), 4) AS p25,
+  round(quantile_cont(CAST({0} AS DOUBLE), 0.5), 4) AS p50,
+  round(quantile_cont(CAST({0} AS DOUBLE), 0.75), 4) AS p75 FROM {1}"""
+
+
 @query(
     "i15_quartiles",
-    """SELECT 'valor_antes_de_iva' AS medida,
-      round(quantile_cont(CAST(valor_antes_de_iva AS DOUBLE), 0.25), 4) AS p25,
-      round(quantile_cont(CAST(valor_antes_de_iva AS DOUBLE), 0.5), 4) AS p50,
-      round(quantile_cont(CAST(valor_antes_de_iva AS DOUBLE), 0.75), 4) AS p75 FROM sales""",
+    " UNION ALL ".join(
+        [
+            _QUARTILES.format("valor_antes_de_iva", "sales"),
+            _QUARTILES.format("cantidad", "contacts"),
+            _QUARTILES.format("intentos", "contacts"),
+        ]
+    ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    events = src.sales(spark, sf, ["valor_antes_de_iva"])
-    found = profiling.quartiles(events, "valor_antes_de_iva")
+    records = src.contacts(spark, sf)
+    found = profiling.quartiles(
+        src.sales(spark, sf, ["valor_antes_de_iva"]), "valor_antes_de_iva"
+    )
+    for measure in ("cantidad", "intentos"):
+        found = found.unionByName(profiling.quartiles(records, measure))
     return found.select("medida", *[F.round(p, 4).alias(p) for p in ("p25", "p50", "p75")])
 
 
@@ -427,6 +447,16 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.additive_gap(budget, "t_t", ["terminales", "tecnologia"], 0.01)
 
 
+@query(
+    "i16_untyped_records",
+    """SELECT count(*) AS filas, CAST(sum(cantidad) AS BIGINT) AS cantidad FROM contacts
+    WHERE tipo_contacto IS NULL""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    untyped = src.contacts(spark, sf).where("tipo_contacto is null")
+    return untyped.agg(F.count("*").alias("filas"), F.sum("cantidad").alias("cantidad"))
+
+
 @query(
     "i18_validity_breakdown",
     """SELECT count(*) FILTER (codigo_factura IS NOT NULL AND nota_credito IS NULL) AS validas,

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lonja.session import shared_folder
 
@@ -19,6 +20,21 @@ _POSITION_BITS = (1 << 33) - 1
 ONE_TASK_ROWS = 200_000
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+    """A few fixed rows as an inline table, whose size Spark knows when it plans a join."""
+    listed = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows)
+    inline = spark.sql(f"SELECT * FROM VALUES {listed} AS rows({', '.join(schema.names)})")
+    return inline.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
     path = f"{shared_folder(df.sparkSession)}/staged/{name}-{uuid4().hex}"
