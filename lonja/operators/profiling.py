@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from lonja.functions.text import strip
 from lonja.sources.staging import literal_rows, stage, stage_numbered
@@ -53,7 +52,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
     zero = F.lit(0).cast("bigint")
     # One row per column on either side; an empty table still lists its columns.
-    pair = StructType().add("columna", "string").add("tipo", "string")
+    pair = "columna string, tipo string"
     names = literal_rows(df.sparkSession, [(c, types[c]) for c in columns], pair)
     return (
         names.join(F.broadcast(counted), "columna", "left")
@@ -324,36 +323,35 @@ def group_sizes(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def domain_overlap(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Shared and one-sided values of column pairs, after strip and upper case.
 
-    Each frame is scanned once for all the pairs it takes part in.
+    Each frame is scanned once for all the pairs it takes part in, and reduced to the distinct
+    values of its columns before a value is normalised or handed to a pair.
     """
     frames: dict[int, DataFrame] = {}
-    sides: dict[int, list[Column]] = {}
+    roles: dict[int, list[tuple[str, str, int]]] = {}
     for name, (left, left_column, right, right_column) in pairs.items():
         for df, column, side in ((left, left_column, 1), (right, right_column, 2)):
             frames[id(df)] = df
-            value = F.upper(strip(F.col(column).cast("string")))
-            entry = F.struct(
-                F.lit(name).alias("par"), value.alias("valor"), F.lit(side).alias("_s")
-            )
-            sides.setdefault(id(df), []).append(entry)
-    tagged = [
-        df.select(F.explode(F.array(*sides[key])).alias("v")).select("v.*")
-        for key, df in frames.items()
-    ]
-    values = (
-        reduce(DataFrame.unionByName, tagged)
-        .distinct()
-        .groupBy("par", "valor")
-        .agg(F.sum("_s").alias("_sides"))
+            roles.setdefault(id(df), []).append((column, name, side))
+    role = "columna string, par string, _side int"
+    values = []
+    for key, df in frames.items():
+        columns = list(dict.fromkeys(column for column, _, _ in roles[key]))
+        melted = df.select(*_as_text(columns)).unpivot([], columns, "columna", "valor")
+        mine = literal_rows(df.sparkSession, roles[key], role)
+        values.append(melted.distinct().join(mine, "columna"))
+    found = (
+        reduce(DataFrame.unionByName, values)
+        .groupBy("par", F.upper(strip(F.col("valor"))).alias("valor"))
+        .agg(F.bit_or("_side").alias("_sides"))
     )
     # Nulls are no values, but they keep a pair without any value in the report.
-    side = F.when(F.col("valor").isNotNull(), F.col("_sides"))
-    return values.groupBy("par").agg(
-        F.count_if(side != 2).alias("n_a"),
-        F.count_if(side != 1).alias("n_b"),
-        F.count_if(side == 3).alias("n_comunes"),
-        F.count_if(side == 1).alias("n_solo_a"),
-        F.count_if(side == 2).alias("n_solo_b"),
+    sides = F.when(F.col("valor").isNotNull(), F.col("_sides"))
+    return found.groupBy("par").agg(
+        F.count_if(sides != 2).alias("n_a"),
+        F.count_if(sides != 1).alias("n_b"),
+        F.count_if(sides == 3).alias("n_comunes"),
+        F.count_if(sides == 1).alias("n_solo_a"),
+        F.count_if(sides == 2).alias("n_solo_b"),
     )
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType
 
 from lonja.operators.dimensions import ALL_DIMENSIONS, VALIDITY
 from lonja.operators.facts import FOREIGN_KEYS
@@ -78,7 +78,7 @@ def orphan_counts(tables: Tables) -> DataFrame:
     )
     # A line per foreign key, also for an empty fact.
     spark = tables[FACTS[0]].sparkSession
-    pair = StructType().add("hecho", "string").add("fk", "string")
+    pair = "hecho string, fk string"
     lines = literal_rows(spark, [(fact, key) for fact, key, _ in FOREIGN_KEYS], pair)
     return (
         lost.select("hecho", "fk", "_n")
@@ -159,7 +159,7 @@ def _check(condition: Column, name: Column, detail: Column) -> list[Column]:
     return [name.alias("chequeo"), condition.alias("ok"), detail.alias("detalle")]
 
 
-_LINE = StructType().add("chequeo", "string").add("ok", "boolean").add("detalle", "string")
+_LINE = "chequeo string, ok boolean, detalle string"
 
 
 def validation_report(mart: MartTables) -> DataFrame:

@@ -20,8 +20,12 @@ _POSITION_BITS = (1 << 33) - 1
 ONE_TASK_ROWS = 200_000
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+def literal_rows(
+    spark: SparkSession, rows: Sequence[tuple], schema: StructType | str
+) -> DataFrame:
     """A few fixed rows as an inline table, whose size Spark knows when it plans a join."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     listed = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows)
     inline = spark.sql(f"SELECT * FROM VALUES {listed} AS rows({', '.join(schema.names)})")
     return inline.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
