@@ -1,8 +1,7 @@
 """Command line: seed the calendar, then load the mart from a landing folder.
 
-    spark-submit -m ... or: python -m lonja.plans.job calendar --database dwh --location P \\
-        --landing P --format parquet --start-year 2025 --end-year 2027
-    python -m lonja.plans.job load --database dwh --location P --landing P
+    python -m lonja.plans.job calendar --database dwh --location L --landing P --start-year 2025
+    python -m lonja.plans.job load --database dwh --location L --landing P --format csv
 """
 
 from __future__ import annotations
@@ -11,11 +10,12 @@ import argparse
 import sys
 from datetime import UTC, datetime
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lonja.operators.calendar import year_range
 from lonja.plans.load import run_load, seed_calendar
-from lonja.session import build_session
+from lonja.session import apply_settings
 from lonja.sources.mart_tables import MartTables
 from lonja.sources.registry import landing_sources, read_source
 from lonja.sources.schemas import LANDING
@@ -39,7 +39,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str]) -> int:
     """0 when the step and its checks passed, 1 otherwise."""
     args = arguments(argv)
-    spark = build_session()
+    spark = apply_settings(SparkSession.builder.appName("lonja").getOrCreate())
     mart = MartTables(spark, args.database, args.location)
     sources = landing_sources(args.landing, args.format)
     try:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+_LOADING = Lock()
 _LOADED: dict[tuple[str, str], tuple[MartTables, LoadResult]] = {}
 
 
@@ -69,9 +71,10 @@ def fresh_load(spark: SparkSession, sf_dir: str) -> tuple[MartTables, LoadResult
 def loaded(spark: SparkSession, sf_dir: str) -> tuple[MartTables, LoadResult]:
     """The loaded mart of a table folder, built by its first use in a Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOADED:
-        _LOADED[key] = fresh_load(spark, sf_dir)
-    return _LOADED[key]
+    with _LOADING:
+        if key not in _LOADED:
+            _LOADED[key] = fresh_load(spark, sf_dir)
+        return _LOADED[key]
 
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lonja.operators import dimensions as dims
+from lonja.sources import staging
 from lonja.operators.facts import FOREIGN_KEYS, lookup_key
 from lonja.sources.mart_tables import conformed
 from lonja.sources.schemas import SEEDS, STAR
@@ -198,22 +199,43 @@ def test_staged_numbers_are_gap_free(spark, parts):
     assert got == list(range(1, 1001))
 
 
-def test_ordered_numbers_follow_the_order_in_both_forms(spark):
-    df = spark.range(1000).selectExpr("id", "id % 10 as g")
+def parts_of(monkeypatch):
+    """Record how many write tasks each staged frame had."""
+    seen = []
+    original = staging.stage
+
+    def spy(df, name):
+        written = original(df, name)
+        if "_part" in written.columns:
+            seen.append(written.select("_part").distinct().count())
+        return written
+
+    monkeypatch.setattr(staging, "stage", spy)
+    return seen
+
+
+def test_ordered_numbers_follow_the_order_over_several_tasks(spark, monkeypatch):
+    seen = parts_of(monkeypatch)
+    df = spark.range(1000).selectExpr("id", "id % 10 as g").repartition(6)
     order = [F.col("g").desc(), F.col("id")]
     short = ordinal(df, order, "n", rows_at_most=1000)
-    long = ordinal(df, order, "n", rows_at_most=10**9)
-    assert rows(short, "id", "n") == rows(long, "id", "n")
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        long = ordinal(df, order, "n", rows_at_most=10**9)
+        assert rows(short, "id", "n") == rows(long, "id", "n")
+    assert seen == [4]
 
 
-def test_weighted_numbers_are_running_totals(spark):
+def test_weighted_numbers_are_running_totals_over_several_tasks(spark, monkeypatch):
+    seen = parts_of(monkeypatch)
     df = spark.range(100).selectExpr("id", "id % 3 as w").repartition(5)
-    staged = stage_numbered(df, "t", [F.col("id")], "upto", weight="w")
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        staged = stage_numbered(df, "t", [F.col("id")], "upto", weight="w")
+        got = sorted(tuple(r) for r in staged.select("id", "upto").collect())
     total, want = 0, []
     for i in range(100):
         total += i % 3
         want.append((i, total))
-    assert sorted(tuple(r) for r in staged.select("id", "upto").collect()) == want
+    assert got == want and seen == [4]
 
 
 def test_conformed_types(spark):
