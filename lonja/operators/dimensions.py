@@ -14,7 +14,7 @@ from lonja.functions.text import key_text
 from lonja.operators.clean import drop_duplicates_by
 from lonja.sources.mart_tables import conformed
 from lonja.sources.schemas import SEEDS, STAR
-from lonja.sources.staging import literal_rows, ordinal, stage_numbered
+from lonja.sources.staging import literal_rows, ordinal, stage, stage_numbered
 
 
 @dataclass(frozen=True)
@@ -348,6 +348,8 @@ def merge_members(
         incoming = drop_duplicates_by(incoming, spec.key, [last_by], keep="last").drop(last_by)
     else:
         incoming = incoming.dropDuplicates(list(spec.key))
+    # Incoming members may come from a scan of whole sources: run it once.
+    incoming = stage(incoming, f"incoming-{spec.table}")
     fresh = incoming.join(_prefixed(existing, spec.key), _same_key(spec.key), "left_anti")
     if spec.sk in incoming.columns:
         known = updated_members(existing, incoming.where(f"{spec.sk} is distinct from 0"), spec)
