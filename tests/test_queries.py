@@ -4,9 +4,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
+from lonja.plans import catalog
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
