@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lonja.llm import quality_rules, substring_dedup
+from lonja.llm import lm_scoring, near_dedup, quality_rules, substring_dedup
 from lonja.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the document's id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = lm_scoring.text_scores(docs, remainder(10) == 0, result="scores")
+    columns = "n_tokens n_known train_tokens base_score score".split()
+    held_out = (remainder(10) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, *[f"scores.{c}" for c in columns])
+
+
 @query(
     "op3_quality_rules",
     f"""
@@ -99,6 +113,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"passages.{c}" for c in ("n_words", "n_removed", "kept_sha256")])
 
 
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
