@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lonja.llm import lm_scoring, near_dedup, quality_rules, substring_dedup
+from lonja.llm import (
+    decontamination,
+    language_id,
+    lm_scoring,
+    near_dedup,
+    quality_rules,
+    substring_dedup,
+    url_filters,
+)
 from lonja.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +48,56 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+_A, _Z = string.ascii_uppercase, string.ascii_lowercase
+
+
+@query(
+    "op1_decontamination",
+    f"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id::VARCHAR AS item_id, list_slice(w, p, p + 9) AS gram
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b
+        WHERE len(w) > 0)
+), starts AS (
+    SELECT doc_id, size, p, list_slice(w, p, p + size - 1) AS gram
+    FROM (
+        SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+        FROM d, (SELECT DISTINCT len(gram) AS size FROM windows) WHERE len(w) >= size
+    )
+), hits AS (
+    SELECT doc_id, size, p, item_id FROM starts JOIN windows USING (gram)
+), words AS (
+    SELECT doc_id, count(DISTINCT p + step) AS n FROM hits, range(0, 10) AS r(step)
+    WHERE step < size GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS sha
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+    coalesce(sha, sha256('')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontamination.contaminated(docs, items).drop("spans")
+
+
 @query("op2_lm_scoring")
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     scored = lm_scoring.text_scores(docs, remainder(10) == 0, result="scores")
     columns = "n_tokens n_known train_tokens base_score score".split()
-    held_out = (remainder(10) == 0).alias("held_out")
+    held_out = F.coalesce(remainder(10) == 0, F.lit(True)).alias("held_out")
     return scored.select("doc_id", held_out, *[f"scores.{c}" for c in columns])
 
 
@@ -53,22 +106,31 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH words AS (
     SELECT doc_id, coalesce(text, '') AS text,
-        list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')
-            AS w
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
     FROM documents
 ), grams AS (
-    SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS at, w
-    FROM words, (VALUES (3), ({quality_rules.MIN_REPEAT}), ({quality_rules.MAX_REPEAT + 1})) AS v(width)
+    SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS p, w
+    FROM words, (VALUES (3), ({quality_rules.MIN_REPEAT})) AS v(width)
     WHERE len(w) >= width
-), repeated AS (
-    SELECT doc_id, width, at
+), short AS (
+    SELECT doc_id, width, p, w
     FROM (
-        SELECT doc_id, width, at,
-            count(*) OVER (PARTITION BY doc_id, width, list_slice(w, at, at + width - 1)) AS n
+        SELECT doc_id, width, p, w,
+            count(*) OVER (PARTITION BY doc_id, width, list_slice(w, p, p + width - 1)) AS n
         FROM grams
     ) WHERE n > 1
+), repeated AS (
+    SELECT doc_id, width, p FROM short
+    UNION ALL
+    SELECT doc_id, {quality_rules.MAX_REPEAT + 1}, p
+    FROM (
+        SELECT doc_id, p, count(*) OVER (
+            PARTITION BY doc_id, list_slice(w, p, p + {quality_rules.MAX_REPEAT})) AS n
+        FROM short
+        WHERE width = {quality_rules.MIN_REPEAT} AND p + {quality_rules.MAX_REPEAT} <= len(w)
+    ) WHERE n > 1
 ), spread AS (
-    SELECT doc_id, width, count(DISTINCT at + step) AS n
+    SELECT doc_id, width, count(DISTINCT p + step) AS n
     FROM repeated, range(0, {quality_rules.MAX_REPEAT + 1}) AS s(step)
     WHERE step < width
     GROUP BY doc_id, width
@@ -118,6 +180,48 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _case(field: int) -> str:
+    """The rules as a CASE expression, longest first; ``field`` 2 gives the verdict."""
+    ordered = sorted(url_filters.RULES, key=lambda r: -len(r[0] + r[1]))
+    whens = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') "
+        f"THEN '{verdict if field == 2 else h + p}'"
+        for h, p, verdict in ordered
+    )
+    return f"CASE {whens} END"
+
+
+@query(
+    "op7_url_filters",
+    f"""
+WITH parts AS (
+    SELECT page_id, CASE WHEN contains(url, '://')
+        THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), p AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_A}', '{_Z}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+)
+SELECT page_id, host, path, {_case(1)} AS rule,
+    coalesce({_case(2)}, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'),
+        {list(url_filters.LISTED_TERMS)}) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p
+""",
+)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filters.judged(table(spark, sf_dir, "pages", "page_id", "url"), result="judged")
+    return judged.select("page_id", "judged.*")
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    named = language_id.languages(docs, remainder(4) != 2, result="language")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return named.select("doc_id", held_out, "language.*")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
