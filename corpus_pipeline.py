@@ -8,27 +8,53 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lonja.llm import quality_rules, substring_dedup
+from lonja.llm import decontamination, near_dedup, packing, quality_rules, substring_dedup
 from lonja.session import apply_settings, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality rules reject."""
     apply_settings(spark)
     return quality_rules.good_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate component."""
+    apply_settings(spark)
+    return near_dedup.one_of_each(docs)
+
+
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated passages out of the texts; other texts stay byte for byte."""
     apply_settings(spark)
     return substring_dedup.without_passages(docs)
 
 
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark passage."""
+    apply_settings(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.clean_documents(docs, items)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's words go in the training sequences."""
+    apply_settings(spark)
+    return packing.packed(docs, packing.word_count(F.col("text")))
+
+
 STAGES = [
     ("quality rules", quality),
-    ("substring dedup", substrings),
+    ("near duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("benchmark", benchmark),
+    ("packing", sequences),
 ]
 
-# No statement: passages that the third stage removes and the packing are not for SQL.
+# SQL can't express suffix-array verdicts over connected components and the packing in one
+# statement of bearable cost; tests/llm compares the rows with brute force.
 ORACLE_SQL = None
 
 

@@ -291,3 +291,10 @@ def _unproved(merged: DataFrame, first: DataFrame, label: DataFrame, percent: in
     )
     pair = F.least("x.node", "y.node").alias("x"), F.greatest("x.node", "y.node").alias("y")
     return pairs.select(*pair).distinct()
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that near_duplicates doesn't keep; null ids always stay."""
+    found = near_duplicates(docs.select("doc_id", "text"))
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -14,9 +14,12 @@ from lonja.llm import (
     language_id,
     lm_scoring,
     near_dedup,
+    packing,
     quality_rules,
     substring_dedup,
+    token_counts,
     url_filters,
+    warc,
 )
 from lonja.session import apply_settings
 
@@ -180,6 +183,20 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query(
+    "op6_token_counts",
+    """
+SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS document,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+FROM documents
+""",
+)
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = token_counts.write_token_files(docs)
+    return token_counts.documents_in(spark, folder).select("document", "n_tokens")
+
+
 def _case(field: int) -> str:
     """The rules as a CASE expression, longest first; ``field`` 2 gives the verdict."""
     ordered = sorted(url_filters.RULES, key=lambda r: -len(r[0] + r[1]))
@@ -222,6 +239,108 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out, "language.*")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Web captures made of the pages, one a minute: a third are not-modified revisits.
+
+    An entity tag names the page's path and a version that changes every 4000 captures; a third
+    of the revisits have a date alone, as have some responses.
+    """
+    chance = F.col("page_id") * 7919 % 1009
+    revisit = chance % 3 == 0
+    version = F.floor(F.col("page_id") / 4000)
+    resource = F.regexp_extract("url", r"://[^/]*/(\w*)", 1)
+    tag = F.concat(F.lit('"'), F.md5(F.concat_ws(":", resource, version)), F.lit('"'))
+    date = F.concat(F.lit("day "), version)
+    empty = F.create_map().cast("map<string,string>")
+    body = F.create_map(
+        F.lit("content-type"),
+        F.lit("text/html"),
+        F.lit("content-length"),
+        F.length("html").cast("string"),
+    )
+    always = F.create_map(
+        F.lit("date"),
+        F.col("page_id").cast("string"),
+        F.lit("cache-control"),
+        F.when(revisit, F.lit("max-age=60")).otherwise(F.lit("max-age=3600")),
+    )
+    wrong = F.create_map(F.lit("content-length"), F.lit("0"))
+    return pages.select(
+        F.col("page_id").alias("record_id"),
+        F.col("url").alias("uri"),
+        (F.col("page_id") * 60).alias("at"),
+        F.when(revisit, "revisit").otherwise("response").alias("kind"),
+        F.when(chance % 7 != 0, tag).alias("etag"),
+        F.when(chance % 5 != 0, date).alias("last_modified"),
+        F.map_concat(F.coalesce(F.when(revisit, wrong).otherwise(body), empty), always).alias("headers"),
+    )
+
+
+@query(
+    "op9_warc_revisits",
+    f"""
+WITH base AS (
+    SELECT page_id, length(html) AS size, page_id // 4000 AS version,
+        page_id * 7919 % 1009 AS chance,
+        regexp_extract(url, '://[^/]*/(\\w*)', 1) AS resource,
+        regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#[\\s\\S]*$', '')
+            AS rest
+    FROM pages
+), parts AS (
+    SELECT *, regexp_replace(regexp_replace(
+            translate(regexp_extract(rest, '^([^/?]*)', 1), '{_A}', '{_Z}'), '^www\\.', ''),
+            ':(80|443)$', '') AS host,
+        regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+        regexp_replace(regexp_replace(regexp_extract(rest, '\\?([\\s\\S]*)$', 1),
+            '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
+    FROM base
+), records AS (
+    SELECT page_id, size, host || path || CASE WHEN query = '' THEN '' ELSE '?' || query END AS uri_key,
+        CASE WHEN chance % 3 = 0 THEN 'revisit' ELSE 'response' END AS kind,
+        CASE WHEN chance % 7 <> 0 THEN md5(resource || ':' || version) END AS tag,
+        CASE WHEN chance % 5 <> 0 THEN version END AS day
+    FROM parts
+), placed AS (
+    SELECT *, max(CASE WHEN kind = 'response' THEN page_id END) OVER (
+        PARTITION BY uri_key ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ) AS earlier
+    FROM records
+), joined AS (
+    SELECT p.*, CASE
+            WHEN p.kind = 'response' THEN 'full'
+            WHEN p.earlier IS NULL THEN 'no response'
+            WHEN coalesce(p.tag = r.tag, p.day = r.day) IS NULL THEN 'unchecked'
+            WHEN coalesce(p.tag = r.tag, p.day = r.day) THEN 'resolved'
+            ELSE 'changed' END AS outcome,
+        r.size AS stored_size
+    FROM placed p LEFT JOIN records r ON r.page_id = p.earlier
+)
+SELECT page_id AS record_id, uri_key, kind, CASE WHEN outcome = 'resolved' THEN earlier END
+        AS refers_to, outcome,
+    concat_ws(chr(10),
+        'cache-control: max-age=' || CASE kind WHEN 'revisit' THEN '60' ELSE '3600' END,
+        'content-length: ' || CASE WHEN outcome = 'resolved' THEN stored_size
+            WHEN kind = 'revisit' THEN 0 ELSE size END,
+        CASE WHEN outcome IN ('resolved', 'full') THEN 'content-type: text/html' END,
+        'date: ' || page_id) AS headers
+FROM joined
+""",
+)
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = warc.resolved(captures(pages))
+    header = F.transform(
+        F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])
+    )
+    return found.withColumn("headers", F.array_join(header, "\n"))
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed(docs, packing.word_count(F.col("text")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
