@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.texts import free_name, mix, small_batches
+from lonja.llm.texts import mix, small_batches, unpacked, whole_rows
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -31,6 +31,9 @@ _STEP = 1 << 20
 
 _SPACE = 0x20
 
+# What each text adds to its language in all, so that a long one counts no more than a short one.
+_SHARE = 1 << 20
+
 
 @cache
 def _letters() -> np.ndarray:
@@ -74,14 +77,15 @@ def triple_counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
 
 
 class Binder:
-    """Vectors of letter triples."""
+    """Vectors of letter triples; sums of whole numbers in float64 are exact."""
 
-    def __init__(self, dimensions: int) -> None:
+    def __init__(self, dimensions: int, kind: type = np.float32) -> None:
         self.dimensions = dimensions
+        self.kind = kind
 
     def bundle(self, triples: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Rows of ``counts`` (texts by triples) as sums of the triples' vectors."""
-        total = np.zeros((len(counts), self.dimensions), dtype=np.float32)
+        total = np.zeros((len(counts), self.dimensions), dtype=self.kind)
         for at in range(0, len(triples), _TRIPLES):
             part = triples[at : at + _TRIPLES]
             letters, place = np.unique(
@@ -93,7 +97,7 @@ class Binder:
             bound = np.roll(signs, 2, axis=1)[first]
             bound *= np.roll(signs, 1, axis=1)[second]
             bound *= signs[third]
-            total += counts[:, at : at + _TRIPLES].astype(np.float32) @ bound.astype(np.float32)
+            total += counts[:, at : at + _TRIPLES].astype(self.kind) @ bound.astype(self.kind)
         return total
 
 
@@ -132,7 +136,7 @@ def prototypes(
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        binder, sums = Binder(dimensions), {}
+        binder, sums = Binder(dimensions, np.float64), {}
 
         def out() -> pa.RecordBatch:
             names = sorted(sums)
@@ -152,10 +156,9 @@ def prototypes(
             for name, own in by_lang.items():
                 triples = np.concatenate([t for t, _ in own])
                 numbers, distinct = pd.factorize(triples)
-                weights = np.concatenate([n for _, n in own])
+                weights = np.concatenate([np.rint(n * (_SHARE / n.sum())) for _, n in own])
                 counts = np.bincount(numbers, weights=weights)[None, :]
-                vector = binder.bundle(distinct, counts)[0].astype(np.float64)
-                sums[name] = sums.get(name, 0) + vector
+                sums[name] = sums.get(name, 0) + binder.bundle(distinct, counts)[0]
             if len(sums) >= LANGUAGES_A_PASS:
                 yield out()
         yield out()
@@ -185,27 +188,26 @@ def languages(
     small_batches(docs, 256)
     learnt: dict[str, np.ndarray] = {}
     for row in prototypes(docs, learn, text, lang, dimensions).collect():
-        own = learnt.setdefault(row["lang"], np.zeros(dimensions, dtype=np.float32))
+        own = learnt.setdefault(row["lang"], np.zeros(dimensions))
         own[row["place"]] = row["value"]
     names = sorted(n for n, v in learnt.items() if v.any())
     kind = "struct<lang_pred:string,score:double>"
-    plain, data = docs.columns, free_name(docs, "_text")
     start = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")).cast(kind)
-    out = docs.withColumn(result, start).withColumn(data, F.col(f"`{text}`"))
+    out = whole_rows(docs, text=F.col(f"`{text}`"), result=start)
     schema = out.schema
     for at in range(0, len(names), LANGUAGES_A_PASS):
         block = names[at : at + LANGUAGES_A_PASS]
         matrix = np.stack([learnt[n] / np.linalg.norm(learnt[n]) for n in block])
-        out = out.mapInArrow(_comparer(block, matrix, dimensions, data, result), schema)
-    return out.select(*[F.col(f"`{c}`") for c in plain], F.col(f"`{result}`"))
+        out = out.mapInArrow(_comparer(block, matrix.astype(np.float32), dimensions), schema)
+    return unpacked(out, docs.columns, result)
 
 
-def _comparer(block: list[str], matrix: np.ndarray, dimensions: int, data: str, result: str):
+def _comparer(block: list[str], matrix: np.ndarray, dimensions: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         binder = Binder(dimensions)
         for batch in batches:
-            best = batch.column(result).to_pylist()
-            texts = batch.column(data).to_pylist()
+            best = batch.column("result").to_pylist()
+            texts = batch.column("text").to_pylist()
             found = [triple_counts(t) if t is not None else None for t in texts]
             for run in _runs(found):
                 bundled = binder.bundle(*_table([found[i] for i in run]))
@@ -215,8 +217,8 @@ def _comparer(block: list[str], matrix: np.ndarray, dimensions: int, data: str,
                     top = int(own.argmax())
                     if best[i]["lang_pred"] == UNKNOWN or own[top] > best[i]["score"]:
                         best[i] = {"lang_pred": block[top], "score": float(own[top])}
-            place = batch.schema.get_field_index(result)
+            place = batch.schema.get_field_index("result")
             kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
-            yield batch.set_column(place, result, pa.array(best, kind))
+            yield batch.set_column(place, "result", pa.array(best, kind))
 
     return compare

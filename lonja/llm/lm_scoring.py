@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lonja.llm.texts import LOWER, binary, free_name, small_batches, with_chunk
+from lonja.llm.texts import LOWER, chunked, small_batches, unpacked
 
 ORDER = 4
 CHUNK_BYTES = 8 << 20
@@ -183,18 +183,14 @@ def text_scores(
     Other columns pass through whatever their names; ``result`` must be free.
     """
     small_batches(docs)
-    number, data = free_name(docs, "_chunk"), free_name(docs, "_utf8")
-    flag = free_name(docs, "_train")
-    numbered, chunks, _ = with_chunk(docs, text, number, chunk_bytes)
-    learnt = numbered.withColumn(data, binary(text)).withColumn(
-        flag, ~F.coalesce(held_out, F.lit(True))
-    )
-    schema = docs.withColumn(result, F.lit(None).cast(StructType.fromDDL(_RESULT))).schema
-    grouped = learnt.groupBy(number)
+    train = ~F.coalesce(held_out, F.lit(True))
+    learnt, chunks, _ = chunked(docs, text, chunk_bytes, train=train)
+    schema = learnt.select("row", F.lit(None).cast(StructType.fromDDL(_RESULT)).alias("result")).schema
+    grouped = learnt.groupBy("chunk")
 
     def read(table: pa.Table) -> tuple[list[bytes], list[bool]]:
-        texts = [t.translate(LOWER) for t in table.column(data).to_pylist()]
-        return texts, table.column(flag).to_pylist()
+        texts = [t.translate(LOWER) for t in table.column("utf8").to_pylist()]
+        return texts, table.column("train").to_pylist()
 
     def count_words(key: tuple, table: pa.Table) -> pa.Table:
         counts = _word_counts(*read(table))
@@ -310,7 +306,7 @@ def text_scores(
     def _append(table: pa.Table, rows: list[tuple]) -> pa.Table:
         own = [pa.array([r[i] for r in rows], arrow[kind]) for i, (_, kind) in enumerate(fields)]
         struct = pa.StructArray.from_arrays(own, [name for name, _ in fields])
-        return table.drop_columns([number, data, flag]).append_column(result, struct)
+        return table.select(["row"]).append_column("result", struct)
 
     words = grouped.applyInArrow(count_words, _WORDS).groupBy("bucket")
     posted = grouped.applyInArrow(count_grams, _GRAMS)
@@ -321,7 +317,8 @@ def text_scores(
     answers = words.applyInArrow(answer_words, _ANSWERS).union(
         replies.applyInArrow(answer_grams, _ANSWERS)
     )
-    return grouped.cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+    scored = grouped.cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+    return unpacked(scored, docs.columns, result)
 
 
 def _arrays(lists: pa.ChunkedArray) -> list[np.ndarray]:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lonja.llm.texts import SPACES, binary, free_name, small_batches
+from lonja.llm.texts import SPACES, binary, free_name, small_batches, unpacked, whole_rows
 
 # Production limits of the repetition verdict.
 MIN_REPEAT = 10
@@ -190,22 +190,19 @@ def quality(
     must be free.
     """
     small_batches(docs)
-    data = free_name(docs, "_utf8")
     kind = StructType.fromDDL(_RESULT)
-    schema = docs.withColumn(result, F.lit(None).cast(kind)).schema
-    types = {
-        "bigint": pa.int64(),
-        "boolean": pa.bool_(),
-    }
+    types = {"bigint": pa.int64(), "boolean": pa.bool_()}
     struct = pa.struct([(f.name, types[f.dataType.simpleString()]) for f in kind.fields])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(data).to_pylist()
+            texts = batch.column("utf8").to_pylist()
             rows = measure(texts, min_repeat, max_covered, max_repeat)
-            yield batch.drop_columns([data]).append_column(result, pa.array(rows, struct))
+            yield batch.select(["row"]).append_column("result", pa.array(rows, struct))
 
-    return docs.withColumn(data, binary(text)).mapInArrow(judge, schema)
+    rows = whole_rows(docs, utf8=binary(text))
+    schema = rows.select("row", F.lit(None).cast(kind).alias("result")).schema
+    return unpacked(rows.mapInArrow(judge, schema), docs.columns, result)
 
 
 def good_documents(docs: DataFrame, text: str = "text") -> DataFrame:

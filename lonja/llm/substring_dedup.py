@@ -1,6 +1,6 @@
 """Removal of word passages that repeat anywhere in a corpus, by fixed-block anchors.
 
-Documents are cut into non-overlapping reference blocks of ``window // 2 + 1`` words, so that
+Documents are cut into non-overlapping reference blocks of half a window, rounded up, so that
 every window of ``window`` words holds a whole block. Every rolling window of block length
 probes the block index. A hit anchors the windows around it; these are compared as whole
 windows over the corpus, and runs of repeated windows are the maximal exact repeats.
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lonja.llm.texts import (
-    binary,
+    chunked,
     free_name,
     mix,
     small_batches,
+    unpacked,
     window_hashes,
-    with_chunk,
     word_hashes,
 )
 
@@ -60,10 +60,10 @@ def _bits(data: bytes, n: int) -> np.ndarray:
 class _Chunk:
     """The words of a chunk's documents, and which block windows lie inside one document."""
 
-    def __init__(self, table: pa.Table, text: str, window: int) -> None:
+    def __init__(self, table: pa.Table, window: int) -> None:
         self.window = window
-        self.block = window // 2 + 1
-        self.texts = table.column(text).to_pylist()
+        self.block = (window + 1) // 2
+        self.texts = table.column("utf8").to_pylist()
         self.words, self.counts = word_hashes(self.texts)
         self.starts = np.cumsum(self.counts) - self.counts
         self.blocks = window_hashes(self.words, self.block)
@@ -200,23 +200,21 @@ def repeated_passages(
     empty text has no words. Repeated rows are occurrences of each other. Other columns pass
     through whatever their names; ``result`` must be free.
     """
-    block = window // 2 + 1
+    block = (window + 1) // 2
     small_batches(docs)
-    number, data = free_name(docs, "_chunk"), free_name(docs, "_utf8")
-    numbered, chunks, size = with_chunk(docs, text, number, chunk_bytes)
+    whole, chunks, size = chunked(docs, text, chunk_bytes)
     # Short hashes suffice for anchors, as long as few of all words collide.
     shift = max(0, 64 - max(24, math.ceil(math.log2(size + 1)) + 8))
-    whole = numbered.withColumn(data, binary(text))
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
-        chunk = _Chunk(table, data, window)
+        chunk = _Chunk(table, window)
         aligned = chunk.aligned()[chunk.inside[: len(chunk.blocks)]]
         return _posts(key[0].as_py(), _probe_keys(chunk, shift), chunks, aligned)
 
     def extend(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not table.num_rows:
             return _posts(0, np.empty(0, dtype=np.uint64), chunks)
-        chunk = _Chunk(table, data, window)
+        chunk = _Chunk(table, window)
         hit = _anchored(chunk, answers, _probe_keys(chunk, shift), chunks)
         upto = np.concatenate(([0], np.cumsum(hit)))
         starts, keys, checks = chunk.windows()
@@ -225,7 +223,7 @@ def repeated_passages(
         return _posts(number, keys[near], chunks, None, checks[near])
 
     def remove(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = _Chunk(table, data, window)
+        chunk = _Chunk(table, window)
         gone = np.zeros(len(chunk.words) + 1, dtype=np.int64)
         if answers.num_rows:
             starts, keys, _ = chunk.windows()
@@ -245,7 +243,7 @@ def repeated_passages(
         gone = np.cumsum(gone)[:-1] > 0
         return _with_result(table, chunk, gone)
 
-    kind = docs.withColumn(result, F.lit(None).cast(StructType.fromDDL(_RESULT))).schema
+    kind = whole.select("row", F.lit(None).cast(StructType.fromDDL(_RESULT)).alias("result")).schema
 
     def _with_result(table: pa.Table, chunk: _Chunk, gone: np.ndarray) -> pa.Table:
         rows = []
@@ -271,14 +269,14 @@ def repeated_passages(
         ]
         names = ["n_words", "n_removed", "spans", "kept", "kept_sha256"]
         own = pa.StructArray.from_arrays(fields, names)
-        return table.drop_columns([number, data]).append_column(result, own)
+        return table.select(["row"]).append_column("result", own)
 
-    grouped = whole.groupBy(number)
+    grouped = whole.groupBy("chunk")
     anchors = grouped.applyInArrow(probe, _POSTS).groupBy("bucket")
     hits = anchors.applyInArrow(lambda key, t: _answers(t, False), _ANSWERS).groupBy("chunk")
     extended = grouped.cogroup(hits).applyInArrow(extend, _POSTS).groupBy("bucket")
     repeats = extended.applyInArrow(lambda key, t: _answers(t, True), _ANSWERS).groupBy("chunk")
-    return grouped.cogroup(repeats).applyInArrow(remove, kind)
+    return unpacked(grouped.cogroup(repeats).applyInArrow(remove, kind), docs.columns, result)
 
 
 def without_passages(docs: DataFrame, text: str = "text", window: int = 35) -> DataFrame:

@@ -133,10 +133,10 @@ def total_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
 
 
-def with_chunk(
-    df: DataFrame, text: str, column: str, chunk_bytes: int
+def chunked(
+    df: DataFrame, text: str, chunk_bytes: int, **more: Column
 ) -> tuple[DataFrame, int, int]:
-    """``df`` with a chunk number that depends on the row alone, the number of chunks and bytes.
+    """Whole rows with their ``chunk`` and ``utf8`` text; the number of chunks; all bytes of text.
 
     Rows go to chunks by a hash of the whole row, so a hot source or group of copies is dealt
     out, and a recomputed task finds the same rows in the same chunk.
@@ -144,7 +144,20 @@ def with_chunk(
     size = total_bytes(df, text)
     chunks = max(1, math.ceil(size / chunk_bytes))
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.withColumn(column, F.pmod(row, F.lit(chunks)).cast("int")), chunks, size
+    chunk = F.pmod(row, F.lit(chunks)).cast("int")
+    dealt = whole_rows(df, chunk=chunk, utf8=binary(text), **more)
+    return dealt, chunks, size
+
+
+def whole_rows(df: DataFrame, **more: Column) -> DataFrame:
+    """Whole rows as a struct ``row``, in which no name can clash, and ``more`` columns."""
+    columns = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    return df.select(columns, *[value.alias(name) for name, value in more.items()])
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], result: str) -> DataFrame:
+    """The struct ``row`` as the columns it was made of, and ``result``."""
+    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], F.col("result").alias(result))
 
 
 def small_batches(df: DataFrame, rows: int = 512) -> None:
