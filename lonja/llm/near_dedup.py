@@ -8,9 +8,9 @@ are counted on the signatures; pairs above the match threshold are confirmed on
 
 A posting list never emits all its pairs. Its members are first compared with its hub, the
 member with the most common coordinate values. Members outside the hub's component are then
-compared with the others, unless what both share with the hub proves that they can't link:
-with ``a`` shingles in the hub, ``e`` outside it and ``s`` of these shared with anyone,
-similarity is at most (min a + s) / (max a + e1 + e2 - s).
+compared with the others, unless what both share with the hub proves that they can't link: they
+have at most the hub's shingles in common, less those that one of them lacks, and those outside
+the hub that each shares with anyone.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lonja.llm.texts import LOWER, binary, mix, small_batches, window_hashes, word_hashes
@@ -36,9 +36,12 @@ MATCHES = 20
 _SIGNED = "doc_id bigint, n_shingles bigint, node bigint, keys array<bigint>"
 _CONFIRMED = (
     "x bigint, y bigint, n_common bigint, n_x bigint, n_y bigint, linked boolean, "
-    "extra array<bigint>"
+    "missing array<int>, extra array<bigint>"
 )
 
+# Shingles that a member lacks of its hub are counted in so many parts.
+PARTS = 64
+
 
 def shingle_sets(texts: Sequence[bytes], width: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the ``width``-word shingles; a shorter text is one shingle."""
@@ -103,9 +106,12 @@ def _confirmer(width: int, percent: int):
                 inside = hub[at] == own
                 common = int(inside.sum())
                 linked = 100 * common >= percent * (len(own) + len(hub) - common)
-                rows.append((x, y, common, len(own), len(hub), linked, own[~inside].view(np.int64)))
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.list_(pa.int64())]
-            names = ["x", "y", "n_common", "n_x", "n_y", "linked", "extra"]
+                lost = np.setdiff1d(hub, own[inside], assume_unique=True) % np.uint64(PARTS)
+                missing = np.bincount(lost.astype(np.int64), minlength=PARTS).astype(np.int32)
+                extra = own[~inside].view(np.int64)
+                rows.append((x, y, common, len(own), len(hub), linked, missing, extra))
+            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            names = ["x", "y", "n_common", "n_x", "n_y", "linked", "missing", "extra"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names
             )
@@ -208,7 +214,7 @@ def near_duplicates(
     linked = first.where("linked").select("x", "y")
     label = stage(components(linked), "components")
 
-    rest = stage(_unproved(merged, first, label, percent), "unproved")
+    rest = stage(_unproved(merged, first, label, keys, settings), "unproved")
     second = _confirm(rest, keys, texts, settings).where("linked").select("x", "y")
     known = label.select(F.col("node").alias("x"), F.col("component").alias("y"))
     label = components(known.union(second))
@@ -243,54 +249,79 @@ def _texts(source: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     return rows.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _unproved(merged: DataFrame, first: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _unproved(
+    merged: DataFrame, first: DataFrame, label: DataFrame, keys: DataFrame, settings: dict
+) -> DataFrame:
     """Pairs of a list in different components that their hub doesn't rule out."""
-    relation = first.select(
-        F.col("x").alias("node"),
-        F.col("y").alias("hub"),
-        F.col("n_common").alias("a"),
-        (F.col("n_x") - F.col("n_common")).alias("e"),
-    )
-    # Shingles outside the hub that another member of the same hub has too.
-    outside = first.where("NOT linked").select(F.col("y").alias("hub")).distinct()
-    extra = first.select(F.col("x").alias("node"), F.col("y").alias("hub"), "extra")
-    extra = extra.join(outside, "hub").select("node", "hub", F.explode("extra").alias("shingle"))
-    twice = extra.groupBy("hub", "shingle").agg(F.count("*").alias("n")).where("n > 1")
-    shared = extra.join(twice, ["hub", "shingle"]).groupBy("node", "hub")
-    relation = relation.join(shared.agg(F.count("*").alias("s")), ["node", "hub"], "left")
-    relation = relation.withColumn("s", F.coalesce("s", F.lit(0)))
-
+    relation = _relation(first)
+    label = label.select("node", "component")
     hub_label = label.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    placed = (
-        merged.join(label, "node", "left")
-        .join(hub_label, "hub", "left")
-        .select(
-            "key",
-            "node",
-            "hub",
-            F.coalesce("component", "node").alias("component"),
-            F.coalesce("hub_component", "hub").alias("hub_component"),
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return (
+            rows.where("node <> hub")
+            .join(label, "node", "left")
+            .join(hub_label, "hub", "left")
+            .withColumn("component", F.coalesce("component", "node"))
+            .withColumn("hub_component", F.coalesce("hub_component", "hub"))
         )
-        .where("node <> hub")
-    )
-    minor = placed.where("component <> hub_component")
-    mixed = minor.select("key").distinct()
-    minor = minor.join(relation, ["node", "hub"], "left")
-    members = placed.join(mixed, "key").join(relation, ["node", "hub"], "left")
-    x, y = minor.alias("x"), members.alias("y")
-    outer = F.col("y.component") == F.col("y.hub_component")
-    s = F.least("x.s", "y.s")
-    bound = F.lit(100) * (F.least("x.a", "y.a") + s) >= F.lit(percent) * (
-        F.greatest("x.a", "y.a") + F.col("x.e") + F.col("y.e") - s
-    )
-    unknown = F.col("x.a").isNull() | F.col("y.a").isNull()
+
     apart = F.col("x.component") != F.col("y.component")
+    outer = F.col("y.component") == F.col("y.hub_component")
     once = outer | (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & apart & once & (unknown | bound)
+
+    # Members whose relation to the hub is known meet once per hub, whatever lists they share.
+    known = placed(relation)
+    x, y = known.where("component <> hub_component").alias("x"), known.alias("y")
+    outside = F.least("x.core", "y.core") + F.least("x.s", "y.s")
+    sizes = F.col("x.n") + F.col("y.n")
+    percent = settings["percent"]
+
+    def possible(inside: Column) -> Column:
+        return F.lit(100) * (inside + outside) >= F.lit(percent) * (sizes - inside - outside)
+
+    lacking = F.zip_with("x.missing", "y.missing", lambda p, q: F.greatest(p, q))
+    inside = F.col("x.n_hub") - F.aggregate(lacking, F.lit(0), lambda n, p: n + p)
+    bound = possible(F.least("x.a", "y.a")) & possible(inside)
+    by_hub = x.join(y, (F.col("x.hub") == F.col("y.hub")) & apart & once & bound)
+
+    # Others collide with the hub too seldom to have been compared with it.
+    members = placed(merged).join(
+        relation.select("node", "hub", F.lit(True).alias("known")), ["node", "hub"], "left"
     )
+    unknown = members.where("known IS NULL").select("key").distinct()
+    members = members.join(unknown, "key").join(keys, "node")
+    x, y = members.where("component <> hub_component").alias("x"), members.alias("y")
+    either = F.col("x.known").isNull() | F.col("y.known").isNull()
+    collide = F.size(F.array_intersect("x.keys", "y.keys")) >= settings["matches"]
+    by_key = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & once & either & collide)
+
     pair = F.least("x.node", "y.node").alias("x"), F.greatest("x.node", "y.node").alias("y")
-    return pairs.select(*pair).distinct()
+    return by_hub.select(*pair).union(by_key.select(*pair)).distinct()
+
+
+def _relation(first: DataFrame) -> DataFrame:
+    """What each compared member shares with a hub that has an unlinked member.
+
+    node, hub, their sizes n and n_hub, a common shingles, missing ones by part, and of those
+    outside the hub ``core`` that most members have and ``s`` others that another member has.
+    """
+    hubs = first.groupBy(F.col("y").alias("hub")).agg(
+        F.count("*").alias("members"), F.count_if(~F.col("linked")).alias("unlinked")
+    )
+    hubs = hubs.where("unlinked > 0").select("hub", "members")
+    pairs = first.selectExpr(
+        "x AS node", "y AS hub", "n_common AS a", "n_x AS n", "n_y AS n_hub", "missing", "extra"
+    ).join(hubs, "hub")
+    extra = pairs.select("node", "hub", "members", F.explode("extra").alias("shingle"))
+    found = extra.groupBy("hub", "shingle").agg(
+        F.count("*").alias("finds"), F.first("members").alias("members")
+    )
+    found = found.where("finds > 1").selectExpr("hub", "shingle", "2 * finds > members AS most")
+    shared = extra.join(found, ["hub", "shingle"]).groupBy("node", "hub")
+    shared = shared.agg(F.count_if("most").alias("core"), F.count_if(~F.col("most")).alias("s"))
+    rows = pairs.drop("extra", "members").join(shared, ["node", "hub"], "left")
+    return rows.na.fill(0, ["core", "s"])
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
