@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# First and last day a nanosecond timestamp can hold; other days are unreadable.
-FIRST_DAY = "1677-09-22"
-LAST_DAY = "2262-04-11"
-
 # Fixed value: four-digit year, then month and day with an optional leading zero.
 LOOSE_YMD = r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])$"
 
-
-def _in_range(day: Column) -> Column:
-    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
+# Fixed value: a year of four digits, then nothing, a dash or a time.
+FOUR_DIGIT_YEAR = r"^\s*\d{4}(\D|$)"
 
 
 def from_yyyymmdd(number: Column) -> Column:
@@ -22,11 +17,11 @@ def from_yyyymmdd(number: Column) -> Column:
     text = number.cast("string")
     digits = F.length(text)
     parts = [F.substring(text, start, size) for start, size in ((1, 4), (5, 2), (7, 2))]
-    # Six or seven digits that do not match stay as they are: a year far out of range.
+    loose = digits.isin(6, 7) & text.rlike(LOOSE_YMD)
     dashed = F.when(digits == 8, F.concat_ws("-", *parts)).when(
-        digits.isin(6, 7), F.regexp_replace(text, LOOSE_YMD, "$1-$2-$3")
+        loose, F.regexp_replace(text, LOOSE_YMD, "$1-$2-$3")
     )
-    return _in_range(dashed.try_cast("date"))
+    return dashed.try_cast("date")
 
 
 def from_yyyymm(number: Column) -> Column:
@@ -36,8 +31,8 @@ def from_yyyymm(number: Column) -> Column:
 
 
 def from_iso(value: Column) -> Column:
-    """ISO date or date-time text to date."""
-    return _in_range(value.try_cast("date"))
+    """ISO date or date-time text, with a year of four digits, to date."""
+    return F.when(value.cast("string").rlike(FOUR_DIGIT_YEAR), value.try_cast("date"))
 
 
 def period(day: Column) -> Column:

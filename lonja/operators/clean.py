@@ -27,7 +27,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def strip_text(df: DataFrame) -> DataFrame:
     """Remove outer whitespace from every text column."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return _replace(df, {name: strip(F.col(name)) for name in text})
+    return _replace(df, {name: strip(F.col(f"`{name}`")) for name in text})
 
 
 def parse_yyyymmdd(df: DataFrame, columns: Sequence[str], mode: Mode = "strict") -> DataFrame:

@@ -336,7 +336,6 @@ def merge_members(
     incoming: DataFrame,
     spec: Dimension,
     last_by: str | None = None,
-    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Type-1 merge by natural key, null equal to null. Nothing is deleted.
 
@@ -359,9 +358,7 @@ def merge_members(
     else:
         known, given = updated_members(existing, incoming, spec), None
     highest = existing.agg(F.coalesce(F.max(spec.sk), F.lit(0)).alias("m")).first()["m"]
-    if rows_at_most is None:
-        rows_at_most = fresh.count()
-    numbered = ordinal(fresh, key_order(spec.key), "_n", rows_at_most)
+    numbered = ordinal(fresh, key_order(spec.key), "_n")
     inserted = conformed(
         numbered.withColumn(spec.sk, F.col("_n") + F.lit(highest)), spec.table
     ).withColumn("_action", F.lit("inserted"))

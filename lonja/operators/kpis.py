@@ -151,12 +151,14 @@ def compliance_by(
     )
     report = _rated(sums).withColumn("estado", state)
     order = [F.col("cumplimiento").desc_nulls_last(), F.col("atributo").asc_nulls_last()]
-    return ordinal(report, order, "puesto", tables[table].count())
+    return ordinal(report, order, "puesto")
 
 
-def best_by_compliance(tables: Tables, table: str, attribute: str) -> DataFrame:
+def best_by_compliance(
+    tables: Tables, table: str, attribute: str, measure: str = "tyt"
+) -> DataFrame:
     """The attribute values in first place."""
-    return compliance_by(tables, table, attribute).where("puesto = 1")
+    return compliance_by(tables, table, attribute, measure).where("puesto = 1")
 
 
 def contact_sums(tables: Tables, by: Attribute | None = None) -> DataFrame:
@@ -227,13 +229,14 @@ def best_campaigns(tables: Tables) -> DataFrame:
 def campaign_extremes(tables: Tables) -> DataFrame:
     """Campaigns with the most and with the fewest delivered records, ties kept."""
     report = contacts_by(tables, "dim_campana", "nombre_campana").select("atributo", "registros")
-    parts = []
-    for name, order in (("mayor", F.col("registros").desc()), ("menor", F.col("registros").asc())):
-        ranked = report.withColumn("_puesto", F.rank().over(Window.orderBy(order)))
-        parts.append(
-            ranked.where("_puesto = 1").select(F.lit(name).alias("extremo"), "atributo", "registros")
-        )
-    return parts[0].unionByName(parts[1])
+    orders = {"mayor": F.col("registros").desc(), "menor": F.col("registros").asc()}
+    # Both ranks on the one summed frame, a row per campaign.
+    ranked = report.select(
+        "*", *[F.rank().over(Window.orderBy(order)).alias(name) for name, order in orders.items()]
+    )
+    first = F.array(*[F.when(F.col(name) == 1, F.lit(name)) for name in orders])
+    found = ranked.select(F.explode(F.array_compact(first)).alias("extremo"), "atributo", "registros")
+    return found
 
 
 def _dated(sums: DataFrame, tables: Tables, column: str) -> DataFrame:
@@ -264,11 +267,11 @@ def monthly_budget(
 
 
 def daily_compliance(
-    tables: Tables, table: str, attribute: str, reset_monthly: bool = False
+    tables: Tables, table: str, attribute: str, reset_monthly: bool = False, measure: str = "tyt"
 ) -> DataFrame:
     """Daily target, sales, running deficit and effective target per attribute value."""
     daily = day_spine(
-        monthly_budget(tables, table, attribute),
+        monthly_budget(tables, table, attribute, measure),
         daily_sales(tables, table, attribute),
         tables["dim_tiempo"],
         ["atributo"],

@@ -23,8 +23,17 @@ SHORT_CODE = 5
 SAMPLE_GROUPS = 5
 
 
-def _as_text(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).cast("string").alias(c) for c in columns]
+def _named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
+def _as_text(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Values as text; the two zeros of a floating type are one value."""
+    floating = {name for name, dtype in df.dtypes if dtype in ("float", "double")}
+    return [
+        (_named(c) + F.lit(0.0) if c in floating else _named(c)).cast("string").alias(c)
+        for c in columns
+    ]
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,7 +41,9 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One scan; the rows of a column combine by value before they are shuffled.
     """
-    melted = df.select(*_as_text(columns)).unpivot([], list(columns), "columna", "valor")
+    melted = df.select(*_as_text(df, columns)).unpivot(
+        [], [_named(c) for c in columns], "columna", "valor"
+    )
     return melted.groupBy("columna", "valor").agg(F.count("*").alias("n"))
 
 
@@ -78,16 +89,39 @@ def profile_columns_approx(df: DataFrame, sketch_bits: int = 12) -> DataFrame:
     wide = df.agg(
         *[
             F.struct(
-                F.count(c).alias("no_nulos"),
-                F.count_if(F.col(c).isNull()).alias("nulos"),
-                F.hll_sketch_estimate(
-                    F.hll_sketch_agg(F.col(c).cast("string"), F.lit(sketch_bits))
-                ).alias("distintos"),
+                F.count(_named(c)).alias("no_nulos"),
+                F.count_if(_named(c).isNull()).alias("nulos"),
+                F.hll_sketch_estimate(F.hll_sketch_agg(text, F.lit(sketch_bits))).alias(
+                    "distintos"
+                ),
             ).alias(c)
-            for c in df.columns
+            for c, text in zip(df.columns, _as_text(df, df.columns), strict=True)
         ]
     )
-    return wide.unpivot([], df.columns, "columna", "_p").select("columna", "_p.*")
+    return wide.unpivot([], [_named(c) for c in df.columns], "columna", "_p").select(
+        "columna", "_p.*"
+    )
+
+
+def sketch_agreement(df: DataFrame, sketch_bits: int = 12, sigmas: float = 6.0) -> DataFrame:
+    """Whether each column's estimated distinct count is within its error of the exact one.
+
+    A sketch's standard error is at most ``1.04 / sqrt(2 ** sketch_bits)`` of the count; small
+    counts are exact but for one.
+    """
+    exact = profile_columns(df).select("columna", "no_nulos", "nulos", "distintos")
+    guess = profile_columns_approx(df, sketch_bits).select(
+        "columna", F.col("distintos").alias("estimados")
+    )
+    error = F.lit(sigmas * 1.04 / 2 ** (sketch_bits / 2))
+    gap = F.abs(F.col("estimados") - F.col("distintos"))
+    return exact.join(guess, "columna").select(
+        "columna",
+        "no_nulos",
+        "nulos",
+        "distintos",
+        (gap <= F.greatest(F.lit(1.0), error * F.col("distintos"))).alias("dentro_del_error"),
+    )
 
 
 def _limited(df: DataFrame, per: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -336,7 +370,7 @@ def domain_overlap(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -
     values = []
     for key, df in frames.items():
         columns = list(dict.fromkeys(column for column, _, _ in roles[key]))
-        melted = df.select(*_as_text(columns)).unpivot([], columns, "columna", "valor")
+        melted = df.select(*_as_text(df, columns)).unpivot([], columns, "columna", "valor")
         mine = literal_rows(df.sparkSession, roles[key], role)
         values.append(melted.distinct().join(mine, "columna"))
     found = (
@@ -364,10 +398,7 @@ def period_coverage(sources: Mapping[str, DataFrame], column: str, base: str) ->
         for name, df in sources.items()
     ]
     months = reduce(DataFrame.unionByName, tagged)
-    # One row per month and source: bounded by the calendar.
-    basis = F.broadcast(
-        months.where(F.col("fuente") == base).select("_p", F.lit(1).alias("_base"))
-    )
+    basis = months.where(F.col("fuente") == base).select("_p", F.lit(1).alias("_base"))
     return (
         months.join(basis, "_p", "left")
         .groupBy("fuente")

@@ -7,10 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import NumericType, StringType
 
 from lonja.operators.dimensions import ALL_DIMENSIONS, VALIDITY
-from lonja.operators.facts import FOREIGN_KEYS
+from lonja.operators.facts import FACT_SPECS, FOREIGN_KEYS
+from lonja.operators.rules import grain_totals
 from lonja.sources.mart_tables import MartTables
 from lonja.sources.schemas import DIMENSIONS, FACTS, STAR
 from lonja.sources.staging import literal_rows
@@ -150,6 +151,37 @@ def constraint_violations(tables: Tables) -> DataFrame:
     return key_violations(tables).unionByName(value_violations(tables))
 
 
+def require_no_violations(tables: Tables) -> None:
+    """Raise with every key or value rule that these tables break."""
+    broken = constraint_violations(tables).where("violaciones > 0").collect()
+    if broken:
+        listed = ", ".join(f"{r['tabla']}.{r['regla']}: {r['violaciones']}" for r in broken)
+        raise ValueError(f"constraint violations: {listed}")
+
+
+def require_grain(facts: Tables, ruled: Tables) -> None:
+    """Raise unless each fact has the rows and the sums of its ruled source."""
+    parts = []
+    for table, fact in facts.items():
+        spec = FACT_SPECS[table]
+        for name, expression in spec.measures.items():
+            kind = STAR[table][name].dataType
+            if not isinstance(kind, NumericType):
+                continue
+            stages = {
+                "antes": ruled[spec.source].select(F.expr(expression).cast(kind).alias("valor")),
+                "despues": fact.select(F.col(name).alias("valor")),
+            }
+            totals = grain_totals(stages, "valor").withColumn("total", F.col("total").cast("string"))
+            parts.append(totals.withColumn("medida", F.lit(f"{table}.{name}")))
+    seen: dict[str, set[tuple]] = {}
+    for row in _stack(parts).collect():
+        seen.setdefault(row["medida"], set()).add((row["filas"], row["total"]))
+    changed = sorted(name for name, totals in seen.items() if len(totals) > 1)
+    if changed:
+        raise ValueError(f"the load changed rows or sums of {', '.join(changed)}")
+
+
 def has_no_channel(tables: Tables) -> bool:
     """The contact fact carries no channel key."""
     return "sk_canal" not in tables["fact_gestion_tmk"].columns

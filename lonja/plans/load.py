@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lonja.operators import calendar, clean, rules
 from lonja.operators import dimensions as dims
 from lonja.operators.facts import FACT_SPECS, build_fact, used_columns
-from lonja.operators.quality import require_passed, validation_report
+from lonja.operators.quality import (
+    require_grain,
+    require_no_violations,
+    require_passed,
+    validation_report,
+)
 from lonja.sources.mart_tables import MartTables, conformed
 from lonja.sources.registry import first_rows
 from lonja.sources.schemas import DIMENSIONS, FACTS
-from lonja.sources.staging import ROW, stage, stage_numbered
+from lonja.sources.staging import ROW, literal_rows, stage, stage_numbered
 
 # Independent table writes run side by side; the cluster's scheduler shares the executors.
 CONCURRENT_WRITES = 8
@@ -47,26 +52,40 @@ def ruled_frames(
     raw: Mapping[str, DataFrame],
     business_days: DataFrame,
     specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
-) -> dict[str, DataFrame]:
-    """Cleaned and ruled sources, each written once with row numbers.
+) -> tuple[dict[str, DataFrame], list[tuple[str, str, int]]]:
+    """Cleaned and ruled sources, each written once with row numbers, and rows per stage.
 
     The staged table is read by the dimensions and by its fact, and gives the fact its keys, so
     the joins, the parse and the dedup of a source run one time. It holds the columns that are
-    read later; the dedup before it compares all of them.
+    read later; the dedup before it compares all of them. Rows are counted at each stage while
+    the frame is written.
     """
+    counted: list[tuple[str, str, Observation]] = []
+
+    def watched(df: DataFrame, step: str, source: str) -> DataFrame:
+        counted.append((step, source, Observation()))
+        return df.observe(counted[-1][2], F.count(F.lit(1)).alias("filas"))
+
+    def cleaned(source: str, cleaner: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        extracted = watched(raw[source], "extract", source)
+        return watched(cleaner(extracted), "transform", source)
+
     ruled = {
-        "ventas": rules.sales_rules(clean.clean_sales(raw["ventas"])),
-        "presupuesto": rules.budget_rules(clean.clean_budget(raw["presupuesto"]), business_days),
-        "registros": rules.contact_rules(clean.clean_contacts(raw["registros"])),
+        "ventas": rules.sales_rules(cleaned("ventas", clean.clean_sales)),
+        "presupuesto": rules.budget_rules(
+            cleaned("presupuesto", clean.clean_budget), business_days
+        ),
+        "registros": rules.contact_rules(cleaned("registros", clean.clean_contacts)),
     }
 
     def staged(item: tuple[str, DataFrame]) -> DataFrame:
         source, df = item
         used = [c for c in used_columns(source, specs) if c in df.columns]
-        return stage_numbered(df.select(*used), source)
+        return stage_numbered(watched(df.select(*used), "business_rules", source), source)
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        return dict(zip(ruled, pool.map(staged, ruled.items())))
+        frames = dict(zip(ruled, pool.map(staged, ruled.items())))
+    return frames, [(step, source, seen.get["filas"]) for step, source, seen in counted]
 
 
 def load_dimensions(
@@ -116,24 +135,14 @@ def load_facts(
         list(pool.map(write, FACT_SPECS))
 
 
-def stage_counts(
-    raw: Mapping[str, DataFrame], ruled: Mapping[str, DataFrame], mart: MartTables
-) -> DataFrame:
-    """Rows per stage and table: extracted, after transform and rules, loaded."""
-    counted = []
-    for source, df in raw.items():
-        if source in ruled:
-            counted.append(("extract", source, df))
-            counted.append(("transform", source, ruled[source]))
-            counted.append(("business_rules", source, ruled[source]))
-    counted += [("load", table, mart.read(table)) for table in (*DIMENSIONS, *FACTS)]
-    parts = [
-        df.agg(F.lit(etapa).alias("etapa"), F.lit(tabla).alias("tabla"), F.count("*").alias("filas"))
-        for etapa, tabla, df in counted
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+def stage_counts(counted: Sequence[tuple[str, str, int]], mart: MartTables) -> DataFrame:
+    """Rows per stage and table: as counted up to the rules, and those of the loaded tables."""
+    result = literal_rows(mart.spark, counted, "etapa string, tabla string, filas bigint")
+    for table in (*DIMENSIONS, *FACTS):
+        loaded = mart.read(table).agg(
+            F.lit("load").alias("etapa"), F.lit(table).alias("tabla"), F.count("*").alias("filas")
+        )
+        result = result.unionByName(loaded)
     return result
 
 
@@ -144,8 +153,11 @@ def run_load(
     max_rows: int | None = None,
     specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
 ) -> LoadResult:
-    """Load the whole mart from the raw sources; fails when a check after the load fails.
+    """Load the whole mart from the raw sources; fails when a check fails.
 
+    Keys and values of the dimensions are checked before the facts are built, since a repeated
+    member would multiply fact rows; then the facts' own, their rows and sums against the ruled
+    sources, and the report.
     The calendar must have been seeded before. ``max_rows`` loads a sample, the first rows of
     each source in column order. ``specs`` replaces dimension declarations, for instance to
     take another region column or to give a normalised segment.
@@ -155,15 +167,19 @@ def run_load(
     stamp = loaded_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
     if max_rows is not None:
         raw = {key: first_rows(df, max_rows, df.columns) for key, df in raw.items()}
-    ruled = ruled_frames(raw, calendar.business_days(calendar_table), specs)
+    ruled, counted = ruled_frames(raw, calendar.business_days(calendar_table), specs)
     merges = load_dimensions(mart, ruled, specs)
+    require_no_violations({table: mart.read(table) for table in DIMENSIONS})
     load_facts(mart, ruled, stamp, specs)
+    facts = {table: mart.read(table) for table in FACTS}
+    require_no_violations(facts)
+    require_grain(facts, ruled)
     report = validation_report(mart)
     require_passed(report)
     return LoadResult(
         mart.read_all(),
         {name: df.drop(ROW) for name, df in ruled.items()},
         merges,
-        stage_counts(raw, ruled, mart),
+        stage_counts(counted, mart),
         report,
     )

@@ -4,27 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from lonja.functions import dates
+from lonja.functions.text import header_names
 from lonja.operators import profiling
 from lonja.plans.registry import query
 from lonja.sources import analogues as src
+from lonja.sources.schemas import BUDGET_HEADERS, CONTACT_HEADERS, SALES_HEADERS
 
-_PROFILED = {
-    "fecha_venta": "bigint",
-    "codigo_factura": "string",
-    "nota_credito": "string",
-    "region_comercial": "string",
-    "canal": "string",
-    "canal2": "string",
-    "categoria": "string",
-    "marca": "string",
-    "cedula_vendedor": "string",
-    "gv_desc2": "string",
-    "gv_especialista": "string",
-    "valor_antes_de_iva": "decimal(18,2)",
-    "cuotas": "double",
-}
+# Every column of a source, under its cleaned name, with its landing type.
+_SALES = dict(zip(header_names(list(SALES_HEADERS)), SALES_HEADERS.values(), strict=True))
+_BUDGET = dict(zip(header_names(list(BUDGET_HEADERS)), BUDGET_HEADERS.values(), strict=True))
+_CONTACTS = dict(zip(header_names(list(CONTACT_HEADERS)), CONTACT_HEADERS.values(), strict=True))
 
 
 def _profile_oracle(column: str, dtype: str) -> str:
@@ -33,21 +25,30 @@ def _profile_oracle(column: str, dtype: str) -> str:
       round(100.0 * (count(*) - count({column})) / count(*), 2) AS pct_nulos FROM sales"""
 
 
-@query("i1_column_profile", " UNION ALL ".join(_profile_oracle(c, t) for c, t in _PROFILED.items()))
+@query(
+    "i1_column_profile",
+    " UNION ALL ".join(_profile_oracle(c, t.simpleString()) for c, t in _SALES.items()),
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.profile_columns(src.sales(spark, sf, list(_PROFILED)))
+    return profiling.profile_columns(src.sales(spark, sf))
 
 
-@query("i1_column_profile_approx")
+@query(
+    "i1_column_profile_approx",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS columna, count({c}) AS no_nulos, count(*) - count({c}) AS nulos,
+        count(DISTINCT {c}) AS distintos, true AS dentro_del_error FROM sales"""
+        for c in _SALES
+    ),
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.profile_columns_approx(src.sales(spark, sf, list(_PROFILED)))
+    return profiling.sketch_agreement(src.sales(spark, sf))
 
 
-_LOW = ("nota_credito", "region_comercial", "canal", "canal2", "categoria", "marca", "gv_desc2")
 _COUNTED = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, {c} AS valor, count(*) AS n FROM sales"
+    f"SELECT '{c}' AS columna, CAST({c} AS VARCHAR) AS valor, count(*) AS n FROM sales"
     f" WHERE {c} IS NOT NULL GROUP BY {c}"
-    for c in (*_LOW, "gv_especialista")
+    for c in _SALES
 )
 
 
@@ -60,11 +61,10 @@ _COUNTED = " UNION ALL ".join(
     counted=_COUNTED,
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.top_values(src.sales(spark, sf, [*_LOW, "gv_especialista"]))
+    return profiling.top_values(src.sales(spark, sf))
 
 
 _ORDER = ["event_id"]
-_SAMPLED = ("fecha_gestion", "nombre_campana", "tipo_contacto", "aliado", "area_comercial")
 
 
 @query(
@@ -72,13 +72,14 @@ _SAMPLED = ("fecha_gestion", "nombre_campana", "tipo_contacto", "aliado", "area_
     """SELECT columna, valor, row_number() OVER (PARTITION BY columna ORDER BY event_id) AS puesto
     FROM melted QUALIFY puesto <= 15""",
     melted=" UNION ALL ".join(
-        f"SELECT event_id, '{c}' AS columna, {c} AS valor FROM contact_events WHERE {c} IS NOT NULL"
-        for c in _SAMPLED
+        f"SELECT event_id, '{c}' AS columna, CAST({c} AS VARCHAR) AS valor FROM contact_events"
+        f" WHERE {c} IS NOT NULL"
+        for c in _CONTACTS
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     records = src.contacts(spark, sf, keys=True)
-    return profiling.sample_values(records, _ORDER, _SAMPLED)
+    return profiling.sample_values(records, _ORDER, list(_CONTACTS))
 
 
 @query(
@@ -180,18 +181,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.repetition_histogram(events, ["codigo_factura"])
 
 
-_VARYING = (
-    "fecha_venta",
-    "identificacion",
-    "valor_antes_de_iva",
-    "marca",
-    "categoria",
-    "gv_desc2",
-    "nota_credito",
-    "cuotas",
-    "region_comercial",
-    "gv_especialista",
-)
+_VARYING = [c for c in _SALES if c != "codigo_factura"]
 
 
 @query(
@@ -204,8 +194,7 @@ _VARYING = (
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    events = src.sales(spark, sf, ["codigo_factura", *_VARYING])
-    return profiling.varying_columns(events, ["codigo_factura"], _VARYING)
+    return profiling.varying_columns(src.sales(spark, sf), ["codigo_factura"], _VARYING)
 
 
 @query(
@@ -238,20 +227,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.short_codes(src.sales(spark, sf, ["cedula_vendedor"]), "cedula_vendedor")
 
 
-_CROSS = [
-    "mes",
-    "region",
-    "canal",
-    "canal2",
-    "sub_canal",
-    "categoria",
-    "unidad_de_gestion",
-    "especialista",
-    "jefe",
-    "gerente",
-    "descrip2",
-]
-_MEASURES = ["terminales", "tecnologia", "t_t"]
+_MEASURES = [c for c, t in _BUDGET.items() if isinstance(t, DecimalType)]
+_CROSS = [c for c in _BUDGET if c not in _MEASURES]
 
 
 @query(
@@ -268,8 +245,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.repeated_crosses(src.budget(spark, sf), _CROSS, _MEASURES)
 
 
+# Fixed value: the declared grain of the contacts.
 _GROUP = ["nombre_campana", "fecha_gestion", "aliado", "tipo_contacto", "detalle1"]
-_GROUP_VARY = ["division_comercial", "segmento", "cantidad", "intentos", "area_comercial", "gerente"]
+_GROUP_VARY = [c for c in _CONTACTS if c not in _GROUP]
 
 
 @query(
@@ -295,7 +273,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.group_sizes(src.contacts(spark, sf), _GROUP)
 
 
-# Column pairs: sales or contacts against budget.
+# The audited column pairs, sales or contacts against budget.
 _PAIRS = {
     "region": ("budget", "region", "sales", "region_comercial"),
     "region_division": ("budget", "region", "sales", "gv_division"),
@@ -373,6 +351,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.measure_stats(src.budget(spark, sf), _MEASURES)
 
 
+@query("i15_sales_stats", _STATS.format("valor_antes_de_iva", "sales"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    measure = ["valor_antes_de_iva"]
+    return profiling.measure_stats(src.sales(spark, sf, measure), measure)
+
+
 @query(
     "i15_contact_stats",
     " UNION ALL ".join(_STATS.format(m, "contacts") for m in ("cantidad", "intentos")),
@@ -410,10 +394,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     "i15_value_counts",
     """SELECT 'tipo_contacto' AS columna, tipo_contacto AS valor, count(*) AS n FROM contacts
       GROUP BY ALL UNION ALL
-    SELECT 'segmento', segmento, count(*) FROM contacts GROUP BY ALL""",
+    SELECT 'segmento', segmento, count(*) FROM contacts GROUP BY ALL UNION ALL
+    SELECT 'nota_credito', nota_credito, count(*) FROM sales GROUP BY ALL UNION ALL
+    SELECT 'descripcion_estado_reserva', descripcion_estado_reserva, count(*) FROM sales
+      GROUP BY ALL""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.value_counts(src.contacts(spark, sf), ["tipo_contacto", "segmento"])
+    states = ["nota_credito", "descripcion_estado_reserva"]
+    contacts = profiling.value_counts(src.contacts(spark, sf), ["tipo_contacto", "segmento"])
+    return contacts.unionByName(profiling.value_counts(src.sales(spark, sf, states), states))
 
 
 @query(

@@ -357,7 +357,7 @@ def _calendar_merge(spark: SparkSession, sf: str) -> DataFrame:
     days = src.calendar(spark, sf)
     no_holidays = days.where("false").select("fecha", "nombre_festivo")
     older = cal.calendar_days(cal.date_spine(years.where("anio <= 1997")), no_holidays)
-    numbered = ordinal(older, [F.col("fecha")], "sk_tiempo", rows_at_most=older.count())
+    numbered = ordinal(older, [F.col("fecha")], "sk_tiempo")
     existing = dims.ensure_seeds(
         numbered.select(*dims.STAR["dim_tiempo"].names), "dim_tiempo"
     )

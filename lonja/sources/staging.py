@@ -16,9 +16,6 @@ ROW = "_src_row"
 # monotonically_increasing_id() keeps the row position in its low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
 
-# Above this many rows an ordered numbering is staged instead of run in one window task.
-ONE_TASK_ROWS = 200_000
-
 
 def literal_rows(
     spark: SparkSession, rows: Sequence[tuple], schema: StructType | str
@@ -56,12 +53,11 @@ def stage_numbered(
     """Stage ``df`` with a gap-free number 1..n in ``column``.
 
     Every write task stores its own partition number and row positions, so the numbers come
-    from what was written once and stay the same when tasks are lost and rerun. The only data
-    that reaches the driver is one count per write task. With ``order_by`` the frame is
+    from what was written once and stay the same when tasks are lost and rerun. The offsets are
+    a running sum over one count per write task. With ``order_by`` the frame is
     range-partitioned and sorted first, and the numbers follow that order. With ``weight`` a
     row stands for that many, and its number is the running total.
     """
-    spark = df.sparkSession
     ordered = df.orderBy(*order_by) if order_by else df
     written = stage(
         ordered.select(
@@ -76,28 +72,15 @@ def stage_numbered(
         within = F.sum(weight).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
     else:
         total, within = F.count("*"), F.col("_pos") + 1
-    sizes = written.groupBy("_part").agg(total.alias("n")).collect()
-    starts, start = [], 0
-    for part, n in sorted((row["_part"], row["n"]) for row in sizes):
-        starts.append((part, start))
-        start += n
-    numbered = written.withColumn(column, within)
-    if len(starts) > 1:
-        offsets = spark.createDataFrame(starts, "_part int, _start bigint").coalesce(1)
-        numbered = numbered.join(F.broadcast(offsets), "_part").withColumn(
-            column, F.col(column) + F.col("_start")
-        )
+    sizes = written.groupBy("_part").agg(total.alias("_n"))
+    # One row per write task.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
+    numbered = written.withColumn(column, within).join(sizes.select("_part", start), "_part")
+    numbered = numbered.withColumn(column, F.col(column) + F.col("_start"))
     return numbered.drop("_part", "_pos", "_start")
 
 
-def ordinal(
-    df: DataFrame, order_by: Sequence[Column], column: str, rows_at_most: int
-) -> DataFrame:
-    """Number rows 1..n in the given order; ``rows_at_most`` is a known bound on their count.
-
-    A short report is numbered by one window; a longer one by a distributed sort.
-    """
-    if rows_at_most <= ONE_TASK_ROWS:
-        window = Window.orderBy(*order_by)
-        return df.withColumn(column, F.row_number().over(window).cast("bigint"))
+def ordinal(df: DataFrame, order_by: Sequence[Column], column: str) -> DataFrame:
+    """Number rows 1..n in the given order by a distributed sort that is written once."""
     return stage_numbered(df, f"ordered-{column}", order_by, column)

@@ -46,7 +46,8 @@ def test_yyyymmdd(spark):
     rows = [20260630, 20260231, 20261301, 0, -20260630, 2026630, 202663, 2026, 99991231, None]
     got = values(spark, rows, "bigint", dates.from_yyyymmdd)
     day = date(2026, 6, 30)
-    assert got == [day, None, None, None, None, day, date(2026, 6, 3), None, None, None]
+    last = date(9999, 12, 31)
+    assert got == [day, None, None, None, None, day, date(2026, 6, 3), None, last, None]
 
 
 def test_yyyymmdd_text_goes_through_whole_number(spark):

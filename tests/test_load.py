@@ -241,3 +241,29 @@ def test_csv_that_breaks_its_schema_fails(spark, tmp_path):
     text.write.option("header", "true").csv(sources["presupuesto"].path)
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         read_source(spark, sources, "presupuesto").collect()
+
+
+def test_a_fact_that_drops_rows_fails_the_load(mart, result, raw, monkeypatch):
+    original = load.build_fact
+
+    def fewer(spec, *args):
+        fact = original(spec, *args)
+        return fact.where("valor_antes_iva <> 0") if spec.table == "fact_ventas" else fact
+
+    monkeypatch.setattr(load, "build_fact", fewer)
+    with pytest.raises(ValueError, match="fact_ventas"):
+        load.run_load(mart, raw)
+    monkeypatch.undo()
+    load.run_load(mart, raw)
+
+
+def test_a_repeated_member_fails_the_load(mart, result, raw, monkeypatch):
+    original = load.dims.updated_members
+
+    def twice(existing, incoming, spec):
+        members = original(existing, incoming, spec)
+        return members.unionByName(members) if spec.table == "dim_marca" else members
+
+    monkeypatch.setattr(load.dims, "updated_members", twice)
+    with pytest.raises(ValueError, match="dim_marca"):
+        load.run_load(mart, raw)
