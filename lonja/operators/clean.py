@@ -7,7 +7,7 @@ from typing import Any, Literal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from lonja.functions import dates
 from lonja.functions.casts import Mode, typed, whole_number
@@ -121,13 +121,33 @@ def drop_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=present) if present else df
 
 
+def unrounded(df: DataFrame, types: Mapping[str, DataType]) -> dict[str, DataType | str]:
+    """``types`` without a rounding: text amounts keep twelve decimals, numbers their type."""
+    have = dict(df.dtypes)
+    found: dict[str, DataType | str] = {}
+    for name, dtype in types.items():
+        if not isinstance(dtype, DecimalType):
+            found[name] = dtype
+        elif have.get(name) == "string":
+            found[name] = "decimal(38,12)"
+    return found
+
+
+def typed_once(df: DataFrame, types: Mapping[str, DataType], mode: Mode) -> DataFrame:
+    """Typed columns without exact duplicates; rows are compared before amounts are rounded."""
+    return (
+        df.transform(cast_columns, unrounded(df, types), mode)
+        .transform(drop_duplicate_rows)
+        .transform(cast_columns, types, mode)
+    )
+
+
 def clean_sales(raw: DataFrame, mode: Mode = "strict") -> DataFrame:
     return (
         raw.transform(normalize_columns)
         .transform(strip_text)
         .transform(parse_yyyymmdd, SALES_DAYS, mode)
-        .transform(cast_columns, SALES_TYPES, mode)
-        .transform(drop_duplicate_rows)
+        .transform(typed_once, SALES_TYPES, mode)
     )
 
 
@@ -147,8 +167,7 @@ def clean_contacts(raw: DataFrame, mode: Mode = "strict") -> DataFrame:
         .transform(strip_text)
         .transform(parse_iso, CONTACT_DAYS)
         .transform(parse_yyyymm, "periodo", mode)
-        .transform(cast_columns, CONTACT_TYPES, mode)
-        .transform(drop_duplicate_rows)
+        .transform(typed_once, CONTACT_TYPES, mode)
     )
 
 

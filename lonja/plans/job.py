@@ -11,7 +11,6 @@ import sys
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from lonja.operators.calendar import year_range
 from lonja.plans.load import run_load, seed_calendar
@@ -33,6 +32,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--start-year", type=int, default=this_year - 1)
     parser.add_argument("--end-year", type=int, default=this_year + 1)
     parser.add_argument("--max-rows", type=int)
+    parser.add_argument("--mode", default="strict", choices=("strict", "permissive"))
     return parser.parse_args(argv)
 
 
@@ -45,13 +45,11 @@ def main(argv: list[str]) -> int:
     try:
         if args.step == "calendar":
             mart.create()
-            # A few dozen rows a year in one file, so the row id follows the file.
-            holidays = read_source(spark, sources, "festivos").coalesce(1)
-            numbered = holidays.withColumn(ROW, F.monotonically_increasing_id())
-            seed_calendar(mart, year_range(spark, args.start_year, args.end_year), numbered, ROW)
+            holidays = read_source(spark, sources, "festivos", order=ROW)
+            seed_calendar(mart, year_range(spark, args.start_year, args.end_year), holidays, ROW)
         else:
             raw = {key: read_source(spark, sources, key) for key in LANDING}
-            result = run_load(mart, raw, max_rows=args.max_rows)
+            result = run_load(mart, raw, max_rows=args.max_rows, mode=args.mode)
             result.stages.show(100, truncate=False)
             result.report.show(100, truncate=False)
     except (RuntimeError, ValueError, FileNotFoundError) as error:

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lonja.functions.casts import Mode
 from lonja.operators import calendar, clean, rules
 from lonja.operators import dimensions as dims
 from lonja.operators.facts import FACT_SPECS, build_fact, used_columns
@@ -52,6 +53,7 @@ def ruled_frames(
     raw: Mapping[str, DataFrame],
     business_days: DataFrame,
     specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
+    mode: Mode = "strict",
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str, int]]]:
     """Cleaned and ruled sources, each written once with row numbers, and rows per stage.
 
@@ -66,9 +68,9 @@ def ruled_frames(
         counted.append((step, source, Observation()))
         return df.observe(counted[-1][2], F.count(F.lit(1)).alias("filas"))
 
-    def cleaned(source: str, cleaner: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def cleaned(source: str, cleaner: Callable[[DataFrame, Mode], DataFrame]) -> DataFrame:
         extracted = watched(raw[source], "extract", source)
-        return watched(cleaner(extracted), "transform", source)
+        return watched(cleaner(extracted, mode), "transform", source)
 
     ruled = {
         "ventas": rules.sales_rules(cleaned("ventas", clean.clean_sales)),
@@ -152,9 +154,12 @@ def run_load(
     loaded_at: str | None = None,
     max_rows: int | None = None,
     specs: Mapping[str, dims.Dimension] = dims.TEXT_DIMENSIONS,
+    mode: Mode = "strict",
 ) -> LoadResult:
     """Load the whole mart from the raw sources; fails when a check fails.
 
+    ``mode`` says whether a value that does not fit its type fails the load or becomes null.
+
     Keys and values of the dimensions are checked before the facts are built, since a repeated
     member would multiply fact rows; then the facts' own, their rows and sums against the ruled
     sources, and the report.
@@ -167,7 +172,7 @@ def run_load(
     stamp = loaded_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
     if max_rows is not None:
         raw = {key: first_rows(df, max_rows, df.columns) for key, df in raw.items()}
-    ruled, counted = ruled_frames(raw, calendar.business_days(calendar_table), specs)
+    ruled, counted = ruled_frames(raw, calendar.business_days(calendar_table), specs, mode)
     merges = load_dimensions(mart, ruled, specs)
     require_no_violations({table: mart.read(table) for table in DIMENSIONS})
     load_facts(mart, ruled, stamp, specs)

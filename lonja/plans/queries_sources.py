@@ -38,7 +38,30 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     root = _folder(spark, "landing")
     sources = landing_sources(root, "csv")
     export_csv(src.under_headers(src.sales(spark, sf), "ventas"), sources["ventas"].path)
-    return read_source(spark, sources, "ventas")
+    landed = read_source(spark, sources, "ventas")
+    return landed.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in LANDING["ventas"]])
+
+
+@query(
+    "b15_landed_formats",
+    """SELECT formato, count(*) AS filas, sum(CAST(valor_antes_de_iva AS DOUBLE)) AS valor
+    FROM sales, (VALUES (0), (1)) AS c(extra), (VALUES ('csv'), ('json'), ('parquet')) AS f(formato)
+    GROUP BY formato""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    # Every sale twice, a tenth of a cent apart, and once more exactly: rounding must not merge them.
+    copies = src.sales(spark, sf).withColumn("_more", F.explode(F.array(*map(F.lit, (0.001, 0.002, 0.002)))))
+    amount = F.col("valor_antes_de_iva").cast("double") + F.col("_more")
+    raw = src.under_headers(copies.withColumn("valor_antes_de_iva", amount).drop("_more"), "ventas")
+    parts = []
+    for fmt in ("csv", "json", "parquet"):
+        sources = landing_sources(_folder(spark, "landing"), fmt)
+        writer = raw.write.option("header", "true").option("ignoreNullFields", "false")
+        writer.format(fmt).save(sources["ventas"].path)
+        cleaned = clean.clean_sales(read_source(spark, sources, "ventas"))
+        total = F.sum(F.col("valor_antes_de_iva").cast("decimal(28,2)")).cast("double")
+        parts.append(cleaned.agg(F.lit(fmt).alias("formato"), F.count("*").alias("filas"), total.alias("valor")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(

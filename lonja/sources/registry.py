@@ -13,9 +13,17 @@ from pyspark.sql.types import StructType
 from lonja.sources.schemas import HOLIDAYS, LANDING
 
 
+# Every format gives its values as the file holds them; text formats give text, and a broken
+# line fails the job instead of becoming a row of nulls.
+_OPTIONS = {
+    "csv": {"header": "true", "mode": "FAILFAST"},
+    "json": {"primitivesAsString": "true", "mode": "FAILFAST"},
+}
+
+
 @dataclass(frozen=True)
 class Source:
-    """One registered file set. Options are passed on to the reader."""
+    """One registered file set and the columns it must have. Options go to the reader."""
 
     path: str
     schema: StructType
@@ -24,32 +32,40 @@ class Source:
 
 
 def landing_sources(root: str, fmt: str = "parquet") -> dict[str, Source]:
-    """The sales, budget, contact and holiday sources below one landing folder.
-
-    CSV is read strictly: the header must match the schema, and a value that does not fit its
-    type fails the job instead of becoming null.
-    """
-    strict = (("header", "true"), ("enforceSchema", "false"), ("mode", "FAILFAST"))
-    options = strict if fmt == "csv" else ()
+    """The sales, budget, contact and holiday sources below one landing folder."""
     schemas = {**LANDING, "festivos": HOLIDAYS}
     return {
-        key: Source(f"{root.rstrip('/')}/{key}", schema, fmt, options)
-        for key, schema in schemas.items()
+        key: Source(f"{root.rstrip('/')}/{key}", schema, fmt) for key, schema in schemas.items()
     }
 
 
-def read_source(spark: SparkSession, sources: Mapping[str, Source], key: str) -> DataFrame:
-    """Read one registered source with its declared schema, never an inferred one."""
+def read_source(
+    spark: SparkSession, sources: Mapping[str, Source], key: str, order: str | None = None
+) -> DataFrame:
+    """Read the declared columns of one registered source, with the types of its files.
+
+    Fails when a declared column is missing; other columns are left out. Types are given by the
+    cleaning, the same way for every format. ``order`` names a column to add that sorts rows by
+    file name and place in the file.
+    """
     if key not in sources:
         raise KeyError(f"unknown source {key!r}; registered: {', '.join(sorted(sources))}")
     source = sources[key]
-    reader = spark.read.format(source.format).schema(source.schema).options(**dict(source.options))
+    options = {**_OPTIONS.get(source.format, {}), **dict(source.options)}
     try:
-        return reader.load(source.path)
+        found = spark.read.format(source.format).options(**options).load(source.path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             raise FileNotFoundError(f"source {key!r} has no file at {source.path}") from error
         raise
+    missing = [name for name in source.schema.names if name not in found.columns]
+    if missing:
+        raise ValueError(f"source {key!r} lacks the columns {', '.join(missing)}")
+    columns = [F.col(f"`{name}`") for name in source.schema.names]
+    if order:
+        place = ("_metadata.file_path", "_metadata.file_block_start")
+        columns.append(F.struct(*place, F.monotonically_increasing_id()).alias(order))
+    return found.select(*columns)
 
 
 def read_all_sources(spark: SparkSession, sources: Mapping[str, Source]) -> dict[str, DataFrame]:

@@ -1,8 +1,10 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from lonja.operators import calendar as cal
-from lonja.operators import kpis, quality
+from lonja.operators import clean, kpis, quality
 from lonja.operators.quality import require_passed, validation_report
 from lonja.plans import load
 from lonja.plans.registry import new_mart
@@ -239,8 +241,51 @@ def test_csv_that_breaks_its_schema_fails(spark, tmp_path):
     headers = LANDING["presupuesto"].names
     text = spark.createDataFrame([("enero", *["x"] * 10, "1", "1", "2")], headers)
     text.write.option("header", "true").csv(sources["presupuesto"].path)
-    with pytest.raises(Exception, match="MALFORMED|malformed"):
-        read_source(spark, sources, "presupuesto").collect()
+    landed = read_source(spark, sources, "presupuesto")
+    with pytest.raises(Exception, match="cannot cast"):
+        clean.clean_budget(landed.withColumn("T&T", F.lit("mucho"))).collect()
+    row = clean.clean_budget(landed.withColumn("T&T", F.lit("mucho")), "permissive").first()
+    assert (row["mes"], row["t_t"], float(row["terminales"])) == (None, None, 1.0)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
+def test_landed_formats_clean_alike(spark, tmp_path, fmt):
+    from lonja.sources.registry import landing_sources, read_source
+
+    sources = landing_sources(str(tmp_path), fmt)
+    headers = LANDING["ventas"].names
+    values = {"Fecha Venta": "20260105.0", "Código Factura": "F1", "MES": "1"}
+    rows = []
+    for amount in (10.001, 10.002, 10.002, 10.0):
+        own = {**values, "Valor Antes de iva": amount}
+        rows.append(tuple(own.get(h) for h in headers))
+    rows.append(tuple({**values, "Fecha Venta": "sin fecha", "Valor Antes de iva": 10.0}.get(h) for h in headers))
+    schema = ", ".join(f"`{h}` {'double' if h == 'Valor Antes de iva' else 'string'}" for h in headers)
+    df = spark.createDataFrame(rows, schema)
+    writer = df.write.option("header", "true").option("ignoreNullFields", "false")
+    writer.format(fmt).save(sources["ventas"].path)
+    cleaned = clean.clean_sales(read_source(spark, sources, "ventas"))
+    found = [(r["fecha_venta"], float(r["valor_antes_de_iva"]), r["mes"]) for r in cleaned.collect()]
+    day = date(2026, 1, 5)
+    assert sorted(found, key=str) == sorted([(day, 10.0, 1)] * 3 + [(None, 10.0, 1)], key=str)
+
+    short = df.drop("GV_Desc2", "Marca")
+    writer = short.write.option("header", "true").option("ignoreNullFields", "false")
+    writer.format(fmt).mode("overwrite").save(sources["ventas"].path)
+    with pytest.raises(ValueError, match="GV_Desc2, Marca"):
+        read_source(spark, sources, "ventas")
+
+
+def test_the_last_holiday_file_wins(spark, tmp_path):
+    from lonja.sources.registry import landing_sources, read_source
+
+    sources = landing_sources(str(tmp_path), "csv")
+    folder = tmp_path / "festivos"
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,name_es\n" + "2026-05-01,Viejo\n" * 50)
+    (folder / "b.csv").write_text("date,name_es\n2026-05-01,Otro\n2026-05-01,Nuevo\n")
+    names = cal.holiday_names(read_source(spark, sources, "festivos", order="n"), "n")
+    assert [r["nombre_festivo"] for r in names.collect()] == ["Nuevo"]
 
 
 def test_a_fact_that_drops_rows_fails_the_load(mart, result, raw, monkeypatch):
