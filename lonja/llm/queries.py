@@ -111,17 +111,22 @@ WITH words AS (
     SELECT doc_id, coalesce(text, '') AS text,
         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
     FROM documents
+), tokens AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words
 ), grams AS (
-    SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS p, w
-    FROM words, (VALUES (3), ({quality_rules.MIN_REPEAT})) AS v(width)
-    WHERE len(w) >= width
+    SELECT doc_id, 3 AS width, p, word || ' ' || lead(word) OVER s || ' ' || lead(word, 2) OVER s
+        AS gram
+    FROM tokens WINDOW s AS (PARTITION BY doc_id ORDER BY p)
+    UNION ALL
+    SELECT doc_id, {quality_rules.MIN_REPEAT}, p, CASE WHEN count(*) OVER s = {quality_rules.MIN_REPEAT}
+        THEN string_agg(word, ' ') OVER s END
+    FROM tokens WINDOW s AS (PARTITION BY doc_id ORDER BY p
+        ROWS BETWEEN CURRENT ROW AND {quality_rules.MIN_REPEAT - 1} FOLLOWING)
 ), short AS (
-    SELECT doc_id, width, p, w
-    FROM (
-        SELECT doc_id, width, p, w,
-            count(*) OVER (PARTITION BY doc_id, width, list_slice(w, p, p + width - 1)) AS n
-        FROM grams
-    ) WHERE n > 1
+    SELECT doc_id, width, p
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, width, gram) AS n FROM grams
+        WHERE gram IS NOT NULL)
+    WHERE n > 1
 ), repeated AS (
     SELECT doc_id, width, p FROM short
     UNION ALL
@@ -129,7 +134,7 @@ WITH words AS (
     FROM (
         SELECT doc_id, p, count(*) OVER (
             PARTITION BY doc_id, list_slice(w, p, p + {quality_rules.MAX_REPEAT})) AS n
-        FROM short
+        FROM short JOIN words USING (doc_id)
         WHERE width = {quality_rules.MIN_REPEAT} AND p + {quality_rules.MAX_REPEAT} <= len(w)
     ) WHERE n > 1
 ), spread AS (
