@@ -122,31 +122,35 @@ def _confirmer(width: int, percent: int):
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the least node reachable, of every node of edges (x, y).
 
-    Alternates large-star and small-star steps, each a minimum per node and a join, until the
-    edges stay the same; the number of rounds grows with the logarithm of the longest path.
-    Edges are written after every round. Loops, repeated edges and no edges at all are fine.
+    Alternates large-star and small-star steps, each a minimum per node and a join, until all
+    edges form stars; the number of rounds grows with the logarithm of the longest path. Edges
+    are written after every round. Loops, repeated edges and no edges at all are fine.
     """
     now = edges.where("x <> y").select(
         F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")
     )
-    now, before = stage(now.distinct(), "edges"), None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                now.select("v", "v").distinct()
-            )
-        before = mark
+    now = stage(now.distinct(), "edges")
+    while not _stars(now):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), "m").distinct()
-        large = large.where("u <> m")
         lower = large.groupBy("u").agg(F.min("m").alias("least"))
         small = large.join(lower, "u").select(
             F.when(F.col("m") == F.col("least"), F.col("u")).otherwise(F.col("m")).alias("u"),
             F.col("least").alias("v"),
         )
         now = stage(small.distinct(), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        now.select("v", "v").distinct()
+    )
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either a root or has one edge, to a root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"))
+    ends = ends.union(edges.select("v", F.lit(0)))
+    outs = ends.groupBy("node").agg(F.sum("out").alias("outs"), F.min("out").alias("least"))
+    return outs.where("outs > 1 OR (outs = 1 AND least = 0)").isEmpty()
 
 
 def _confirm(pairs: DataFrame, keys: DataFrame, texts: DataFrame, settings: dict) -> DataFrame:
@@ -216,8 +220,9 @@ def near_duplicates(
 
     rest = stage(_unproved(merged, first, label, keys, settings), "unproved")
     second = _confirm(rest, keys, texts, settings).where("linked").select("x", "y")
-    known = label.select(F.col("node").alias("x"), F.col("component").alias("y"))
-    label = components(known.union(second))
+    if not second.isEmpty():
+        known = label.select(F.col("node").alias("x"), F.col("component").alias("y"))
+        label = components(known.union(second))
 
     named = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = named.join(label, "node", "left").select(
@@ -253,14 +258,12 @@ def _unproved(
     merged: DataFrame, first: DataFrame, label: DataFrame, keys: DataFrame, settings: dict
 ) -> DataFrame:
     """Pairs of a list in different components that their hub doesn't rule out."""
-    relation = _relation(first)
     label = label.select("node", "component")
     hub_label = label.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
 
     def placed(rows: DataFrame) -> DataFrame:
         return (
-            rows.where("node <> hub")
-            .join(label, "node", "left")
+            rows.join(label, "node", "left")
             .join(hub_label, "hub", "left")
             .withColumn("component", F.coalesce("component", "node"))
             .withColumn("hub_component", F.coalesce("hub_component", "hub"))
@@ -271,7 +274,7 @@ def _unproved(
     once = outer | (F.col("x.node") < F.col("y.node"))
 
     # Members whose relation to the hub is known meet once per hub, whatever lists they share.
-    known = placed(relation)
+    known = stage(placed(_relation(first)), "relations")
     x, y = known.where("component <> hub_component").alias("x"), known.alias("y")
     outside = F.least("x.core", "y.core") + F.least("x.s", "y.s")
     sizes = F.col("x.n") + F.col("y.n")
@@ -286,11 +289,13 @@ def _unproved(
     by_hub = x.join(y, (F.col("x.hub") == F.col("y.hub")) & apart & once & bound)
 
     # Others collide with the hub too seldom to have been compared with it.
-    members = placed(merged).join(
-        relation.select("node", "hub", F.lit(True).alias("known")), ["node", "hub"], "left"
+    compared = first.select(F.col("x").alias("node"), F.col("y").alias("hub"))
+    merged = merged.where("node <> hub")
+    others = merged.join(compared, ["node", "hub"], "left_anti").select("key").distinct()
+    members = merged.join(others, "key").join(
+        compared.withColumn("known", F.lit(True)), ["node", "hub"], "left"
     )
-    unknown = members.where("known IS NULL").select("key").distinct()
-    members = members.join(unknown, "key").join(keys, "node")
+    members = placed(members).join(keys, "node")
     x, y = members.where("component <> hub_component").alias("x"), members.alias("y")
     either = F.col("x.known").isNull() | F.col("y.known").isNull()
     collide = F.size(F.array_intersect("x.keys", "y.keys")) >= settings["matches"]
