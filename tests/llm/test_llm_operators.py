@@ -384,3 +384,38 @@ def test_empty_tables(spark):
     assert token_counts.documents_in(spark, token_counts.write_token_files(none)).count() == 0
     pages = spark.createDataFrame([], "page_id bigint, url string")
     assert url_filters.judged(pages).count() == 0
+
+
+def test_queries_and_stages(spark, sf):
+    """Registered names, whole answers, and a pipeline whose stages take effect."""
+    import __spark_entry__ as driver
+    import corpus_pipeline
+
+    queries, statements = driver.queries(), driver.oracle_sql()
+    names = [n for n in queries if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert {n for n in names if n in statements} == {
+        n for n in names if int(n[2:].split("_")[0]) in (1, 3, 6, 7, 9)
+    }
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sizes, now = [docs.count()], docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, sf)
+        assert now.columns == docs.columns, name
+        now = now.checkpoint() if spark.sparkContext.getCheckpointDir() else now.cache()
+        sizes.append(now.count())
+    assert sizes[0] > sizes[1] > sizes[2] == sizes[3] >= sizes[4]
+    before = [(r.doc_id, r.text) for r in docs.collect()]
+    limits = (quality_rules.MIN_REPEAT, quality_rules.MAX_COVERED, quality_rules.MAX_REPEAT)
+    good = {r[0] for r in brute.quality(before, *limits) if r[-1]}
+    kept = {r[0] for r in brute.near([r for r in before if r[0] in good]) if r[3]}
+    assert sizes[2] == len(kept)
+    cut = brute.substrings([r for r in before if r[0] in kept], 35)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = {r.doc_id: r.text for r in now.collect()}
+    for doc_id, _, removed, digest in cut:
+        if removed and doc_id in texts:
+            assert hashlib.sha256(texts[doc_id].encode()).hexdigest() == digest
+    assert not any(r[5] for r in brute.contaminated(list(texts.items()), items, 10))
+    packed = corpus_pipeline.STAGES[-1][1](spark, now, sf)
+    assert {r.doc_id for r in packed.collect()} == set(texts)
