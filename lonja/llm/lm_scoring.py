@@ -311,6 +311,8 @@ def text_scores(
     words = grouped.applyInArrow(count_words, _WORDS).groupBy("bucket")
     posted = grouped.applyInArrow(count_grams, _GRAMS)
     totals = posted.groupBy("bucket").applyInArrow(total_grams, "gram bigint, n bigint")
+    # Dealt out once, so that all depths of the trie read what was summed one time.
+    totals = totals.repartition("gram")
     scores = _trie_scores(totals, order)
     scores = scores.withColumn("bucket", F.pmod("gram", F.lit(chunks)).cast("int"))
     replies = posted.groupBy("bucket").cogroup(scores.groupBy("bucket"))
