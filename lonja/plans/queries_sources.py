@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from lonja.session import shared_folder
 from lonja.sources import analogues as src
 from lonja.sources.mart_tables import conformed, export_csv, export_json
 from lonja.sources.registry import first_rows, landing_sources, read_all_sources, read_source
-from lonja.sources.schemas import LANDING, STAR
+from lonja.sources.schemas import DIMENSIONS, LANDING, STAR
 
 _SALES_ORDER = header_names(LANDING["ventas"].names)
 
@@ -173,26 +174,20 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "a6_seed_members",
-    """SELECT 'dim_aliado' AS tabla, sk_aliado AS sk, aliado_nk AS nk FROM dim_aliado UNION ALL
-    SELECT 'dim_region', sk_region, region_nk FROM dim_region UNION ALL
-    SELECT 'dim_validez_venta', sk_validez, descripcion FROM dim_validez_venta""",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS tabla, {STAR[table].names[0]} AS sk FROM {table}" for table in DIMENSIONS
+    ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     tables = loaded(spark, sf)[1].tables
     parts = []
-    for table, label in (
-        ("dim_aliado", "aliado_nk"),
-        ("dim_region", "region_nk"),
-        ("dim_validez_venta", "descripcion"),
-    ):
+    for table in DIMENSIONS:
         sk = STAR[table].names[0]
         # Members without their fixed rows, then seeded twice: the second time adds nothing.
         bare = tables[table].where(F.col(sk) > (0 if table != "dim_validez_venta" else 2))
         seeded = dims.ensure_seeds(dims.ensure_seeds(bare, table), table)
-        parts.append(
-            seeded.select(F.lit(table).alias("tabla"), F.col(sk).alias("sk"), F.col(label).alias("nk"))
-        )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        parts.append(seeded.select(F.lit(table).alias("tabla"), F.col(sk).alias("sk")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
