@@ -23,7 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.texts import LOWER, binary, mix, small_batches, window_hashes, word_hashes
+from lonja.llm.texts import (
+    LOWER,
+    binary,
+    free_name,
+    mix,
+    small_batches,
+    window_hashes,
+    word_hashes,
+)
 from lonja.sources.staging import stage
 
 WIDTH = 5
@@ -330,7 +338,18 @@ def _relation(first: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that near_duplicates doesn't keep; null ids always stay."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of ``docs`` per component of near duplicates; rows without words all stay.
+
+    The row of the least doc_id stays, one without an id only where no linked row has an id, and
+    of rows with equal ids or none the first as written. Rows are told apart by a number that is
+    written with them first, so ids may be missing or repeated.
+    """
+    number = free_name(docs, "_row")
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, doc_id=number).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(number).alias("row"), F.col("doc_id").alias("id"))
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    first = found.join(ids, "row").groupBy("component_id").agg(F.min(place).alias("first"))
+    gone = found.join(first.select("first.row"), "row", "left_anti")
+    gone = gone.select(F.col("row").alias("_gone"))
+    return rows.join(gone, rows[number] == gone["_gone"], "left_anti").drop(number)
