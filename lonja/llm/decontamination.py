@@ -14,6 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lonja.llm.texts import free_name
 from lonja.sources.staging import stage
 
 WIDTH = 10
@@ -89,17 +90,38 @@ def contaminated(
     no windows; without items nothing is hit. Repeated rows are answered alike, one by one.
     Only the four named columns are read. The benchmark's windows are written first.
     """
+    judged = _judged(docs, items, text, doc_id, item_text, item_id, width)
+    return judged.drop("k1", "k2")
+
+
+def _row_keys(text: str, doc_id: str) -> tuple[Column, Column]:
+    """Two hashes that tell rows of different ids or texts apart."""
+    text, doc_id = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
+    return F.xxhash64(doc_id, text), F.xxhash64(text, F.lit(1), doc_id)
+
+
+def _judged(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str,
+    doc_id: str,
+    item_text: str,
+    item_id: str,
+    width: int,
+) -> DataFrame:
+    """The columns of ``contaminated`` and the row's keys k1 and k2."""
     windows = item_windows(items, item_text, item_id, width)
     windows = stage(windows, "windows")
     grams = windows.groupBy("gram", "size").agg(
         F.array_sort(F.collect_set("item_id")).alias("items"), F.first("tokens").alias("tokens")
     )
     # An occurrence is known by its whole text; this also names the window.
+    k1, k2 = _row_keys(text, doc_id)
     source = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("k1"),
-        F.xxhash64(F.col(f"`{text}`"), F.lit(1), F.col(f"`{doc_id}`")).alias("k2"),
+        k1.alias("k1"),
+        k2.alias("k2"),
     )
     worded = source.select("k1", "k2", word_list(F.col("text")).alias("words"))
     singles = not windows.where("size = 1").isEmpty()
@@ -178,6 +200,8 @@ def contaminated(
         lambda s: s["n"],
     )
     out = by_row.select(
+        "k1",
+        "k2",
         "doc_id",
         "n_words",
         union.alias("n_hit"),
@@ -190,7 +214,12 @@ def contaminated(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item; rows without a doc_id are judged too."""
-    found = contaminated(docs.select("doc_id", "text"), items, width=width)
-    dirty = found.where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["_dirty"]), "left_anti")
+    """The rows of ``docs`` that hold no window of any item.
+
+    Every row is judged by its own text, whatever other rows share its doc_id or lack of one.
+    """
+    found = _judged(docs, items, "text", "doc_id", "text", "item_id", width)
+    dirty = found.where("contaminated").select("k1", "k2").distinct()
+    names = [free_name(docs, f"_{k}") for k in dirty.columns]
+    keyed = docs.withColumns(dict(zip(names, _row_keys("text", "doc_id"), strict=True)))
+    return keyed.join(dirty.toDF(*names), names, "left_anti").drop(*names)

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from lonja.llm import near_dedup
+from lonja.llm import decontamination, near_dedup
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -30,3 +30,14 @@ def test_one_row_of_each_component(spark):
     assert found.columns == docs.columns
     expected = [(1, a), (None, b), (7, c), (3, d), (8, e), (None, ""), (None, ""), (4, None)]
     assert kept_rows(found) == Counter(expected)
+
+
+def test_rows_are_cleaned_one_by_one(spark):
+    dirty, clean, other = words("a", 30), words("b", 30), words("c", 30)
+    rows = [(None, dirty), (None, clean), (None, None), (None, clean), (5, dirty), (5, other)]
+    rows += [(6, clean), (6, clean), (7, dirty), (7, dirty)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("k1", F.lit(1)).repartition(3)
+    items = spark.createDataFrame([(1, " ".join(dirty.split()[5:20]))], "item_id bigint, text string")
+    found = decontamination.clean_documents(docs, items)
+    assert found.columns == docs.columns
+    assert kept_rows(found) == Counter(r for r in rows if r[1] != dirty)
