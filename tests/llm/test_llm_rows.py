@@ -1,10 +1,12 @@
 """Stages that drop rows: ids may be missing or repeated, every row is judged by itself."""
 
 from collections import Counter
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lonja.llm import decontamination, near_dedup
+from lonja.llm import decontamination, near_dedup, token_counts
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -41,3 +43,35 @@ def test_rows_are_cleaned_one_by_one(spark):
     found = decontamination.clean_documents(docs, items)
     assert found.columns == docs.columns
     assert kept_rows(found) == Counter(r for r in rows if r[1] != dirty)
+
+
+def test_rows_of_one_id_fill_several_files(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "FILE_TEXT_BYTES", 4000)
+    rows = [(None, words("a", 20))] * 300 + [(None, words(f"b{i}x", 20)) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+    folder = token_counts.write_token_files(docs)
+    sizes = [p.stat().st_size for p in Path(folder).glob("part-*")]
+    assert sum(sizes) == 600 * 21 * 2 and max(sizes) < 4000
+    assert token_counts.documents_in(spark, folder).where("n_tokens = 20").count() == 600
+
+
+def test_blocks_are_read_without_the_whole_file(spark, tmp_path):
+    (tmp_path / "part-0").write_bytes(b"\1\0\2\0\0\0" * 500)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        found = token_counts.documents_in(spark, str(tmp_path), block_bytes=64)
+        assert Counter(r.n_tokens for r in found.collect()) == {2: 500}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_blocks_of_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    (tmp_path / "part-0").write_bytes(b"\1\0\2\0\0\0" * 500)
+
+    def nowhere(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([False] * batch.num_rows)], ["reached"])
+
+    monkeypatch.setattr(token_counts, "_reach", nowhere)
+    found = token_counts.documents_in(spark, str(tmp_path), block_bytes=64)
+    assert Counter(r.n_tokens for r in found.collect()) == {2: 500}
