@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from lonja.llm import (
     decontamination,
@@ -15,13 +17,19 @@ from lonja.llm import (
     lm_scoring,
     near_dedup,
     packing,
+    prefix_trie,
     quality_rules,
+    structure_repair,
     substring_dedup,
     token_counts,
+    token_files,
+    turns,
     url_filters,
     warc,
 )
+from lonja.llm.prefix_trie import EMPTY_SHA256
 from lonja.session import apply_settings
+from lonja.sources.staging import ROW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -346,6 +354,106 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, packing.word_count(F.col("text")))
 
 
+def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rebuilt conversations' turns, and all conversations; see ``prefix_trie.prefix_trie``.
+
+    A conversation is the first h turns of the one with its id cut to a multiple of five, then
+    its own after the first h. Rows without an id are one conversation, of its own turns.
+    """
+    role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
+    rows, bounds = turns.placed(
+        conversations,
+        F.col("conv_id"),
+        [F.col("turn")],
+        [role, text],
+        key=turns.content_key(role, text),
+        weight=F.octet_length(text).cast("bigint"),
+    )
+    borrowed = F.coalesce(F.crc32(F.col("conv").cast("string")) % 9, F.lit(0))
+    convs = bounds.withColumns({"h": borrowed, "base": F.col("conv") - F.col("conv") % 5})
+    bases = bounds.select(F.col("conv").alias("base"), F.col("n").alias("n_base"))
+    taken = F.least("h", F.coalesce("n_base", F.lit(0)))
+    convs = convs.join(bases, "base", "left").withColumn("taken", taken).drop("n_base")
+    placed = turns.with_bounds(rows, convs)
+    placed = placed.withColumn("place", F.col(ROW) - F.col("first_row") + 1)
+    own = placed.where("place > h").withColumn("depth", F.col("taken") + F.col("place") - F.col("h"))
+    heads = placed.where("place <= 8 AND conv = base").select("base", "place", "key", "weight")
+    lent = convs.where("h > 0").select("conv", "base", "h").join(heads, "base").where("place <= h")
+    lent = lent.withColumn("depth", F.col("place"))
+    columns = ("conv", "depth", "key", "weight")
+    return own.select(*columns).unionByName(lent.select(*columns)), convs.select("conv")
+
+
+@query("op11_prefix_trie")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    trie = prefix_trie.prefix_trie(*rebuilt_turns(conversations))
+    totals = prefix_trie.subtree_totals(
+        trie.nodes,
+        n_leaves=F.when(F.col("n_children") == 0, 1),
+        saved_tokens=(F.col("n_convs") - 1) * F.col("weight"),
+    )
+    sums = prefix_trie.ends_sha256(trie.ends).withColumnRenamed("key", "node")
+    found = trie.nodes.join(totals, "node").join(sums, "node", "left")
+    return found.select(
+        F.col("conv").alias("conv_id"),
+        F.col("depth").cast("bigint").alias("depth"),
+        F.col("parent_conv").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"),
+    )
+
+
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = token_files.write_token_table(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    found = token_files.read_token_table(spark, folder)
+    found = found.select("row.doc_id", "start", "n_tokens", "ids")
+    sums = "doc_id bigint, start bigint, n_tokens bigint, ids bigint"
+    return found.mapInArrow(token_files.ids_crc32, sums).withColumnRenamed("ids", "ids_crc32")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with planted faults by the hash of conversation and turn; nulls are one space."""
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *ids)) % 20
+    copies = F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    changed = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", ""))
+    rows = conversations.where(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        changed.otherwise(text).alias("text"),
+        copies.alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+@query("op13_structure_repair")
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    result = structure_repair.repaired(damaged(conversations))
+    line = F.concat_ws(":", "role", "text").alias("line")
+    lines = result.edits.where("edit <> 'D'").select("conv", "step", line)
+    sums = turns.joined_sha256(lines, "conv", ["step"], "line", "\n")
+    found = conversations.select("conv_id").distinct()
+    for more, conv in ((result.summary, "conv"), (sums, "key")):
+        more = more.withColumnRenamed(conv, "_conv")
+        found = found.join(more, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    counts = "gaps blank duplicate truncated illegal cost".split()
+    return found.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(EMPTY_SHA256)).alias("repaired_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
