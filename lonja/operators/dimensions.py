@@ -341,14 +341,16 @@ def merge_members(
 
     Known members keep their surrogate key and take the updatable columns; new members get the
     next keys in natural-key order unless they bring one. When a key comes more than once, the
-    row that is last in ``last_by`` wins.
+    row that is last in ``last_by`` wins; without an order, unlike rows of one key are an error.
     """
     if last_by:
         incoming = drop_duplicates_by(incoming, spec.key, [last_by], keep="last").drop(last_by)
     else:
-        incoming = incoming.dropDuplicates(list(spec.key))
+        incoming = incoming.distinct()
     # Incoming members may come from a scan of whole sources: run it once.
     incoming = stage(incoming, f"incoming-{spec.table}")
+    if not last_by:
+        _require_single(incoming, spec)
     fresh = incoming.join(_prefixed(existing, spec.key), _same_key(spec.key), "left_anti")
     if spec.sk in incoming.columns:
         known = updated_members(existing, incoming.where(f"{spec.sk} is distinct from 0"), spec)
@@ -366,6 +368,14 @@ def merge_members(
     return merged.unionByName(given) if given is not None else merged
 
 
+def _require_single(incoming: DataFrame, spec: Dimension) -> None:
+    key = list(spec.key)
+    repeated = incoming.groupBy(*key).count().where("count > 1").select(*key).limit(5).collect()
+    if repeated:
+        listed = ", ".join(str(tuple(row)) for row in repeated)
+        raise ValueError(f"{spec.table}: unlike rows of one key and no order given: {listed}")
+
+
 def merge_counts(merged: DataFrame | GroupedData) -> DataFrame:
     """Inserted, updated and skipped members of a merge."""
     return merged.agg(

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lonja.functions.dates import period
 from lonja.operators.dimensions import TEXT_DIMENSIONS, Dimension, source_key
 from lonja.operators.rules import NO_INVOICE
 from lonja.sources.mart_tables import conformed
-from lonja.sources.schemas import STAR
+from lonja.sources.schemas import PERIOD, STAR
 from lonja.sources.staging import ROW
 
 
@@ -138,6 +139,6 @@ def build_fact(
     fact = lookup_key(fact, dims["dim_tiempo"], "sk_tiempo", {"fecha": F.col("_date")})
     for dim in own:
         fact = lookup_key(fact, dims[dim.table], dim.sk, keyed[dim.table])
-    return conformed(
-        fact.withColumn("fecha_carga_dw", F.lit(loaded_at).cast("timestamp_ntz")), spec.table
-    )
+    month = F.coalesce(period(F.col("_date")), F.lit(0)).cast("int")
+    stamp = F.lit(loaded_at).cast("timestamp_ntz")
+    return conformed(fact.withColumns({"fecha_carga_dw": stamp, PERIOD.name: month}), spec.table)

@@ -7,7 +7,7 @@ attributes of shared dimensions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators.dimensions import ALL_DIMENSIONS
 from lonja.operators.targets import RUNNING, carry_deficit, day_spine
-from lonja.sources.schemas import UNKNOWN_LABEL
+from lonja.sources.schemas import FACTS, PERIOD, UNKNOWN_LABEL
 from lonja.sources.staging import ordinal
 
 Tables = Mapping[str, DataFrame]
@@ -161,6 +161,48 @@ def best_by_compliance(
     return compliance_by(tables, table, attribute, measure).where("puesto = 1")
 
 
+def compliance_over(
+    tables: Tables,
+    attributes: Sequence[Attribute],
+    sets: Sequence[Sequence[str]],
+    measure: str = "tyt",
+) -> DataFrame:
+    """Valid sales against budget for several groupings at once, with one scan per fact.
+
+    Every set names some of the attributes' columns; the empty set is the total, and the sets of
+    a hierarchy's first levels are its subtotals. ``agrupacion`` says which columns a row is
+    grouped by, ``padre`` has the label one level up in a set of several; the columns that a row
+    is not grouped by are null. Facts are summed by the surrogate keys that the attributes need,
+    so labels and sets meet summed rows only.
+    """
+    columns = [a.column for a in attributes]
+    keys = list(dict.fromkeys(a.sk for a in attributes))
+    none = F.lit(0).cast(AMOUNT)
+    sold = sales_parts(tables, None, *keys).select(*keys, "ventas_validas", none.alias("presupuesto"))
+    planned = budget_parts(tables, None, *keys, measure=measure)
+    planned = planned.select(*keys, none.alias("ventas_validas"), "presupuesto")
+    parts = sold.unionByName(planned).groupBy(*keys)
+    parts = parts.agg(*[F.sum(m).alias(m) for m in ("ventas_validas", "presupuesto")])
+    for table in dict.fromkeys(a.table for a in attributes):
+        own = [a for a in attributes if a.table == table]
+        labels = [label_of(table, a.column).alias(a.column) for a in own]
+        parts = parts.join(tables[table].select(own[0].sk, *labels), own[0].sk, "left")
+    grouped = parts.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        *[F.sum(m).cast(AMOUNT).alias(m) for m in ("ventas_validas", "presupuesto")],
+        *[F.grouping(c).alias(f"_out_{c}") for c in columns],
+    )
+    inside = {c: F.col(f"_out_{c}") == 0 for c in columns}
+    named = F.concat_ws("+", *[F.when(inside[c], F.lit(c)) for c in columns])
+    listed = F.array_compact(
+        F.array(*[F.when(inside[c], F.struct(F.col(c).alias("label"))) for c in columns])
+    )
+    parent = F.when(F.size(listed) > 1, F.element_at(listed, -2)["label"])
+    rows = grouped.select(
+        named.alias("agrupacion"), *columns, parent.alias("padre"), "ventas_validas", "presupuesto"
+    )
+    return _rated(rows)
+
+
 def contact_sums(tables: Tables, by: Attribute | None = None) -> DataFrame:
     """Delivered records, attempts and contacts by type, in total or per attribute value."""
     sums = (
@@ -229,14 +271,38 @@ def best_campaigns(tables: Tables) -> DataFrame:
 def campaign_extremes(tables: Tables) -> DataFrame:
     """Campaigns with the most and with the fewest delivered records, ties kept."""
     report = contacts_by(tables, "dim_campana", "nombre_campana").select("atributo", "registros")
-    orders = {"mayor": F.col("registros").desc(), "menor": F.col("registros").asc()}
-    # Both ranks on the one summed frame, a row per campaign.
-    ranked = report.select(
-        "*", *[F.rank().over(Window.orderBy(order)).alias(name) for name, order in orders.items()]
+    # Two rows at most.
+    ends = F.broadcast(
+        report.agg(F.max("registros").alias("mayor"), F.min("registros").alias("menor"))
+        .unpivot([], ["mayor", "menor"], "extremo", "registros")
+        .where("registros IS NOT NULL")
     )
-    first = F.array(*[F.when(F.col(name) == 1, F.lit(name)) for name in orders])
-    found = ranked.select(F.explode(F.array_compact(first)).alias("extremo"), "atributo", "registros")
-    return found
+    return report.join(ends, "registros").select("extremo", "atributo", "registros")
+
+
+def on_days(tables: Tables, days: Column) -> dict[str, DataFrame]:
+    """The star with facts of the calendar days that meet a condition; other tables unchanged.
+
+    Facts meet the months of these days first, by the column that their folders are named after:
+    a month given as a value is pruned when the scan is planned, any other condition when the
+    calendar has been read. Both sides that are broadcast have a row per month or per day.
+    """
+    chosen = tables["dim_tiempo"].where(days)
+    month = F.coalesce("periodo_yyyymm", F.lit(0)).cast("int").alias(PERIOD.name)
+    months = F.broadcast(chosen.select(month).distinct())
+    single = F.broadcast(chosen.select("sk_tiempo"))
+    return {
+        name: df.join(months, PERIOD.name).join(single, "sk_tiempo", "left_semi")
+        if name in FACTS
+        else df
+        for name, df in tables.items()
+    }
+
+
+def in_months(tables: Tables, first: int, last: int) -> dict[str, DataFrame]:
+    """The star with the facts of the months ``first`` to ``last`` (yyyymm): their folders alone."""
+    inside = F.col(PERIOD.name).between(first, last)
+    return {name: df.where(inside) if name in FACTS else df for name, df in tables.items()}
 
 
 def _dated(sums: DataFrame, tables: Tables, column: str) -> DataFrame:

@@ -6,7 +6,7 @@ or sorted whole in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -154,21 +154,24 @@ def sample_values(
 ) -> DataFrame:
     """First fifteen non-null values of each column in the given row order.
 
-    Each column is a top-n of its own that reads just that column and the order, and holds n
-    rows per task; sorting all values of all columns together would cost far more.
+    One scan for all columns: a row becomes one value per column with the row's place, and a task
+    keeps the first values of each column before anything is shuffled.
     """
-    parts = []
-    for column in columns or df.columns:
-        value = F.col(column).cast("string").alias("valor")
-        keys = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
-        order = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(keys))] + [F.col("valor")]
-        first = df.select(*keys, value).where("valor is not null").orderBy(*order)
-        place = F.row_number().over(Window.partitionBy("columna").orderBy(*order))
-        parts.append(
-            first.limit(SAMPLE_VALUES)
-            .withColumn("columna", F.lit(column))
-            .select("columna", place.cast("bigint").alias("puesto"), "valor")
-        )
+    columns = list(columns or df.columns)
+    place = F.struct(*[F.col(c) for c in order_by]).alias("_place")
+    melted = df.select(place, *[_named(c).cast("string").alias(c) for c in columns]).unpivot(
+        ["_place"], [_named(c) for c in columns], "columna", "valor"
+    )
+    order = [F.col("_place"), F.col("valor")]
+    first = _limited(melted.where("valor is not null"), ["columna"], order, SAMPLE_VALUES)
+    return first.select("columna", "puesto", "valor")
+
+
+def of_sources(
+    frames: Mapping[str, DataFrame], report: Callable[[str, DataFrame], DataFrame]
+) -> DataFrame:
+    """One report over several sources, with the source's name in ``fuente``."""
+    parts = [report(name, df).withColumn("fuente", F.lit(name)) for name, df in frames.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -35,46 +35,34 @@ def require_columns(df: DataFrame, columns: Sequence[str], dataset: str) -> Data
     return df
 
 
-def flag_credit_note(df: DataFrame) -> DataFrame:
-    """``tiene_nota_credito``: the marker says SI in any case; null or no column means false."""
-    flag = F.lit(False)
-    if "nota_credito" in df.columns:
-        flag = F.coalesce(F.upper(F.col("nota_credito")) == CREDIT_NOTE, F.lit(False))
-    return df.withColumn("tiene_nota_credito", flag)
-
-
-def flag_valid_sale(df: DataFrame) -> DataFrame:
-    """``tiene_factura`` and ``es_venta_valida``: an invoice and no credit note."""
-    if "tiene_nota_credito" not in df.columns:
-        df = flag_credit_note(df)
-    invoiced = F.lit(False)
-    if "codigo_factura" in df.columns:
-        code = F.col("codigo_factura").cast("string")
-        invoiced = F.coalesce(
-            (strip(code) != "") & (code != MISSING_INVOICE_TEXT), F.lit(False)
-        )
-    return df.withColumn("tiene_factura", invoiced).withColumn(
-        "es_venta_valida", F.col("tiene_factura") & ~F.col("tiene_nota_credito")
-    )
-
-
-def validity_code(invoiced: Column, credited: Column) -> Column:
-    return (
-        F.when(invoiced & ~credited, VALID_SALE)
-        .when(~invoiced & ~credited, NO_INVOICE)
-        .when(invoiced & credited, CREDITED)
-        .otherwise(CREDITED_NO_INVOICE)
-        .cast("bigint")
-    )
+def sale_validity(df: DataFrame, *wanted: str) -> DataFrame:
+    """Add the wanted of four columns, all by default, in one projection.
 
-
-def assign_validity(df: DataFrame) -> DataFrame:
-    """``sk_validez`` 1..4 from the two flags."""
-    if not {"tiene_factura", "tiene_nota_credito"} <= set(df.columns):
-        df = flag_valid_sale(df)
-    return df.withColumn(
-        "sk_validez", validity_code(F.col("tiene_factura"), F.col("tiene_nota_credito"))
+    ``tiene_nota_credito``: the marker says SI in any case. ``tiene_factura``: an invoice code
+    that is neither blank nor the text for a missing one. ``es_venta_valida``: the second without
+    the first. ``sk_validez``: 1 to 4 for the combinations of both. A null, or a column that the
+    source lacks, is false; the last two take a flag that ``df`` has as it is.
+    """
+    present = set(df.columns)
+    marker, code = (
+        F.col(c).cast("string") if c in present else F.lit(None).cast("string")
+        for c in ("nota_credito", "codigo_factura")
     )
+    own = {
+        "tiene_nota_credito": F.coalesce(F.upper(marker) == CREDIT_NOTE, F.lit(False)),
+        "tiene_factura": F.coalesce(
+            (strip(code) != "") & (code != MISSING_INVOICE_TEXT), F.lit(False)
+        ),
+    }
+    credited, invoiced = (F.col(n) if n in present else own[n] for n in own)
+    number = F.when(credited, F.when(invoiced, CREDITED).otherwise(CREDITED_NO_INVOICE))
+    number = number.otherwise(F.when(invoiced, VALID_SALE).otherwise(NO_INVOICE))
+    found = {
+        **own,
+        "es_venta_valida": invoiced & ~credited,
+        "sk_validez": number.cast("bigint"),
+    }
+    return df.withColumns({name: found[name] for name in wanted or found})
 
 
 def flag_contact_type(df: DataFrame) -> DataFrame:
@@ -96,12 +84,7 @@ def drop_channel_key(df: DataFrame) -> DataFrame:
 
 
 def sales_rules(df: DataFrame) -> DataFrame:
-    return (
-        require_columns(df, SALES_REQUIRED, "ventas")
-        .transform(flag_credit_note)
-        .transform(flag_valid_sale)
-        .transform(assign_validity)
-    )
+    return sale_validity(require_columns(df, SALES_REQUIRED, "ventas"))
 
 
 def budget_rules(df: DataFrame, business_days: DataFrame) -> DataFrame:

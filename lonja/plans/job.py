@@ -16,7 +16,7 @@ from lonja.operators.calendar import year_range
 from lonja.plans.load import run_load, seed_calendar
 from lonja.session import apply_settings
 from lonja.sources.mart_tables import MartTables
-from lonja.sources.registry import landing_sources, read_source
+from lonja.sources.registry import PLACE, landing_sources, read_source
 from lonja.sources.schemas import LANDING
 from lonja.sources.staging import ROW
 
@@ -46,9 +46,10 @@ def main(argv: list[str]) -> int:
         if args.step == "calendar":
             mart.create()
             holidays = read_source(spark, sources, "festivos", order=ROW)
-            seed_calendar(mart, year_range(spark, args.start_year, args.end_year), holidays, ROW)
+            years = year_range(spark, args.start_year, args.end_year)
+            print(seed_calendar(mart, years, holidays, ROW))
         else:
-            raw = {key: read_source(spark, sources, key) for key in LANDING}
+            raw = {key: read_source(spark, sources, key, order=PLACE) for key in LANDING}
             result = run_load(mart, raw, max_rows=args.max_rows, mode=args.mode)
             result.stages.show(100, truncate=False)
             result.report.show(100, truncate=False)

@@ -9,6 +9,7 @@ from pyspark.sql.types import DecimalType
 from lonja.functions import dates
 from lonja.functions.text import header_names
 from lonja.operators import profiling
+from lonja.plans.oracle import VIEWS
 from lonja.plans.registry import query
 from lonja.sources import analogues as src
 from lonja.sources.schemas import BUDGET_HEADERS, CONTACT_HEADERS, SALES_HEADERS
@@ -82,6 +83,84 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.sample_values(records, _ORDER, list(_CONTACTS))
 
 
+# Sources of the profile over everything: analogue view, columns, and the view's name in SQL.
+_SOURCES = {
+    "ventas": (src.sales, _SALES, "sales"),
+    "presupuesto": (src.budget, _BUDGET, "budget"),
+    "registros": (src.contacts, _CONTACTS, "contacts"),
+}
+
+
+@query(
+    "i1_profile_of_all_sources",
+    " UNION ALL ".join(
+        _profile_oracle(c, t.simpleString()).replace("SELECT ", f"SELECT '{name}' AS fuente, ", 1).replace("FROM sales", f"FROM {view}")
+        for name, (_, columns, view) in _SOURCES.items()
+        for c, t in columns.items()
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    frames = {name: view(spark, sf) for name, (view, _, _) in _SOURCES.items()}
+    return profiling.of_sources(frames, lambda _, df: profiling.profile_columns(df))
+
+
+@query(
+    "i2_top_values_of_all_sources",
+    """SELECT fuente, columna, valor, n,
+      row_number() OVER (PARTITION BY fuente, columna ORDER BY n DESC, valor) AS puesto FROM counted
+    WHERE fuente || '/' || columna IN (SELECT fuente || '/' || columna FROM counted
+      GROUP BY fuente, columna HAVING count(*) <= 30)
+    QUALIFY puesto <= 10""",
+    counted=" UNION ALL ".join(
+        f"SELECT '{name}' AS fuente, '{c}' AS columna, CAST({c} AS VARCHAR) AS valor, count(*) AS n"
+        f" FROM {view} WHERE {c} IS NOT NULL GROUP BY {c}"
+        for name, (_, columns, view) in _SOURCES.items()
+        for c in columns
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    frames = {name: view(spark, sf) for name, (view, _, _) in _SOURCES.items()}
+    return profiling.of_sources(frames, lambda _, df: profiling.top_values(df))
+
+
+# The place of a row in its source; a budget cross that comes twice has equal columns but amounts.
+_PLACES = {
+    "ventas": ("l_orderkey", "l_linenumber"),
+    "presupuesto": tuple(_BUDGET),
+    "registros": ("event_id",),
+}
+_PLACED = {
+    "ventas": VIEWS["sales"].replace(
+        "\nFROM lineitem", ", l_orderkey, l_linenumber\nFROM lineitem", 1
+    ),
+    "presupuesto": "SELECT * FROM budget",
+    "registros": "SELECT * FROM contact_events",
+}
+
+
+def _sampled(name: str, column: str) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in _PLACES[name])
+    return f"""(SELECT '{name}' AS fuente, '{column}' AS columna, CAST({column} AS VARCHAR) AS valor,
+      row_number() OVER (ORDER BY {order}, CAST({column} AS VARCHAR)) AS puesto
+      FROM placed_{name} WHERE {column} IS NOT NULL QUALIFY puesto <= 15)"""
+
+
+@query(
+    "i2_samples_of_all_sources",
+    " UNION ALL ".join(_sampled(n, c) for n, (_, columns, _) in _SOURCES.items() for c in columns),
+    **{f"placed_{name}": sql for name, sql in _PLACED.items()},
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    frames = {
+        "ventas": src.sales(spark, sf, keys=True),
+        "presupuesto": src.budget(spark, sf),
+        "registros": src.contacts(spark, sf, keys=True),
+    }
+    return profiling.of_sources(
+        frames, lambda name, df: profiling.sample_values(df, _PLACES[name], list(_SOURCES[name][1]))
+    )
+
+
 @query(
     "i3_table_shape",
     """SELECT count(*) AS filas, 16 AS columnas,

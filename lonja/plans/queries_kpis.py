@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators import kpis
 from lonja.plans.registry import query, star
+from lonja.sources.schemas import PERIOD
 
 _SOLD = """SELECT f.*, v.es_venta_valida FROM fact_ventas f
   JOIN dim_validez_venta v ON v.sk_validez = f.sk_validez"""
@@ -92,6 +93,40 @@ for _name, (_table, _sk, _attribute) in {
     _register(_name, _table, _sk, _attribute)
 
 
+_LEVELS = ("gerente", "jefe", "especialista")
+_SETS = [(), *[_LEVELS[:n] for n in (1, 2, 3)], ("jefe",), ("especialista",), ("nombre_aliado",)]
+_LABELS = ", ".join(
+    [f"CASE WHEN j.sk_jerarquia = 0 THEN 'No informado' ELSE j.{c} END AS {c}" for c in _LEVELS]
+    + ["CASE WHEN a.sk_aliado = 0 THEN 'No informado' ELSE a.nombre_aliado END AS nombre_aliado"]
+)
+_DIMS = "JOIN dim_jerarquia_comercial j ON j.sk_jerarquia = f.sk_jerarquia JOIN dim_aliado a ON a.sk_aliado = f.sk_aliado"
+_GROUPED = ", ".join(f"({', '.join(s)})" for s in _SETS)
+_IN = {c: f"grouping({c}) = 0" for c in (*_LEVELS, "nombre_aliado")}
+
+
+@query(
+    "g7_compliance_by_hierarchy",
+    """SELECT agrupacion, gerente, jefe, especialista, nombre_aliado, padre,
+      CAST(v AS DOUBLE) AS ventas_validas, CAST(p AS DOUBLE) AS presupuesto,
+      round(CAST(v AS DOUBLE) / nullif(CAST(p AS DOUBLE), 0), 6) AS cumplimiento,
+      CAST(p - v AS DOUBLE) AS faltante FROM grouped""",
+    sold=_SOLD,
+    labelled=f"""SELECT {_LABELS}, CASE WHEN es_venta_valida THEN valor_antes_iva ELSE 0 END AS v, 0 AS p
+      FROM sold f {_DIMS} UNION ALL SELECT {_LABELS}, 0, tyt FROM fact_presupuesto f {_DIMS}""",
+    grouped=f"""SELECT concat_ws('+', {", ".join(f"CASE WHEN {w} THEN '{c}' END" for c, w in _IN.items())})
+        AS agrupacion, gerente, jefe, especialista, nombre_aliado,
+      CASE WHEN grouping(gerente) = 0 AND grouping(especialista) = 0 THEN jefe
+        WHEN grouping(gerente) = 0 AND grouping(jefe) = 0 THEN gerente END AS padre,
+      sum(v) AS v, sum(p) AS p
+      FROM labelled GROUP BY GROUPING SETS ({_GROUPED})""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    # The four answers by manager, chief, specialist and ally, the subtotals and the total.
+    attributes = [kpis.Attribute("dim_jerarquia_comercial", c) for c in _LEVELS]
+    attributes.append(kpis.Attribute("dim_aliado", "nombre_aliado"))
+    return kpis.compliance_over(star(spark, sf), attributes, _SETS)
+
+
 @query(
     "g6_best_region",
     f"SELECT * FROM ({_REPORT}) WHERE puesto = 1",
@@ -180,6 +215,35 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return kpis.best_campaigns(star(spark, sf))
 
 
+@query(
+    "g1_sales_of_business_quarter",
+    """SELECT t.periodo_yyyymm AS mes, CAST(sum(valor_antes_iva) AS DOUBLE) AS ventas, count(*) AS filas
+    FROM fact_ventas f JOIN dim_tiempo t ON t.sk_tiempo = f.sk_tiempo
+    WHERE t.fecha IS NOT NULL AND t.mes <= 3 AND t.es_habil GROUP BY ALL""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    # Business days of first quarters: the other months' folders are pruned by the calendar.
+    tables = star(spark, sf)
+    days = F.col("fecha").isNotNull() & (F.col("mes") <= 3) & F.col("es_habil")
+    sold = kpis.on_days(tables, days)["fact_ventas"].groupBy(F.col(PERIOD.name).cast("bigint").alias("mes"))
+    total = F.sum("valor_antes_iva").cast("double").alias("ventas")
+    return sold.agg(total, F.count("*").alias("filas"))
+
+
+@query(
+    "g4_compliance_of_one_month",
+    """SELECT ventas_validas, presupuesto FROM (
+      SELECT CAST(sum(valor_antes_iva) FILTER (v.es_venta_valida) AS DOUBLE) AS ventas_validas
+      FROM fact_ventas f JOIN dim_tiempo t ON t.sk_tiempo = f.sk_tiempo
+      JOIN dim_validez_venta v ON v.sk_validez = f.sk_validez WHERE t.periodo_yyyymm = 199603),
+    (SELECT CAST(sum(tyt) AS DOUBLE) AS presupuesto FROM fact_presupuesto f
+      JOIN dim_tiempo t ON t.sk_tiempo = f.sk_tiempo WHERE t.periodo_yyyymm = 199603)""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    month = kpis.in_months(star(spark, sf), 199603, 199603)
+    return kpis.overall_compliance(month).select("ventas_validas", "presupuesto")
+
+
 @query(
     "g14_campaign_extremes",
     """SELECT 'mayor' AS extremo, atributo, registros FROM rated

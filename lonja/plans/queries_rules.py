@@ -63,7 +63,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     flagged=_FLAGGED,
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = rules.flag_credit_note(_invoices(spark, sf))
+    flagged = rules.sale_validity(_invoices(spark, sf), "tiene_nota_credito")
     return flagged.groupBy("nota_credito", "tiene_nota_credito").agg(F.count("*").alias("filas"))
 
 
@@ -76,7 +76,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     flagged=_FLAGGED,
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = rules.flag_valid_sale(_invoices(spark, sf))
+    flagged = rules.sale_validity(_invoices(spark, sf))
     return flagged.groupBy(
         "codigo_factura", "tiene_factura", "tiene_nota_credito", "es_venta_valida"
     ).agg(F.count("*").alias("filas"), F.sum("valor_antes_de_iva").alias("total"))
@@ -92,7 +92,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     flagged=_FLAGGED,
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    coded = rules.assign_validity(_invoices(spark, sf))
+    coded = rules.sale_validity(_invoices(spark, sf))
     return coded.groupBy("sk_validez").agg(F.count("*").alias("filas"))
 
 
@@ -206,7 +206,7 @@ def _spine(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["canal", "fecha_venta", "codigo_factura", "nota_credito", "valor_antes_de_iva"]
-    valid = rules.flag_valid_sale(src.sales(spark, sf, columns)).where("es_venta_valida")
+    valid = rules.sale_validity(src.sales(spark, sf, columns)).where("es_venta_valida")
     dated = clean.parse_yyyymmdd(valid, ["fecha_venta"])
     return dated.groupBy("canal", F.col("fecha_venta").alias("fecha")).agg(
         F.sum("valor_antes_de_iva").alias("ventas")

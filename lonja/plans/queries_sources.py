@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from uuid import uuid4
 
@@ -14,12 +15,22 @@ from lonja.functions.text import header_names, key_text
 from lonja.operators import clean, profiling
 from lonja.operators import calendar as cal
 from lonja.operators import dimensions as dims
-from lonja.plans.registry import loaded, query
+from lonja.plans.load import evolve, run_load
+from lonja.plans.oracle import VIEWS
+from lonja.plans.registry import fresh_load, loaded, new_mart, query
 from lonja.session import shared_folder
 from lonja.sources import analogues as src
 from lonja.sources.mart_tables import conformed, export_csv, export_json
-from lonja.sources.registry import first_rows, landing_sources, read_all_sources, read_source
-from lonja.sources.schemas import DIMENSIONS, LANDING, STAR
+from lonja.sources.registry import (
+    PLACE,
+    Source,
+    first_rows,
+    landing_sources,
+    missing_columns,
+    read_all_sources,
+    read_source,
+)
+from lonja.sources.schemas import DIMENSIONS, LANDING, PERIOD, STAR
 
 _SALES_ORDER = header_names(LANDING["ventas"].names)
 
@@ -43,6 +54,99 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return landed.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in LANDING["ventas"]])
 
 
+_FORMATS = ("csv", "json", "parquet")
+_EACH_FORMAT = "(VALUES ('csv'), ('json'), ('parquet')) AS f(formato)"
+
+
+def _landed_parts(spark: SparkSession, name: str, *parts: DataFrame) -> dict[str, dict[str, Source]]:
+    """The parts of one source appended to its folder, once in every format."""
+    landed = {}
+    for fmt in _FORMATS:
+        landed[fmt] = landing_sources(_folder(spark, "landing"), fmt)
+        for part in parts:
+            writer = part.write.option("header", "true").option("ignoreNullFields", "false")
+            writer.format(fmt).mode("append").save(landed[fmt][name].path)
+    return landed
+
+
+def _each(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Frames of all formats, with the format's name."""
+    return reduce(DataFrame.unionByName, [df.withColumn("formato", F.lit(f)) for f, df in parts.items()])
+
+
+_BUDGET_HEADERS = LANDING["presupuesto"].names
+_BUDGET_COLUMNS = header_names(_BUDGET_HEADERS)
+_AMOUNTS = ("terminales", "tecnologia", "t_t")
+_BUDGET_VALUES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in _AMOUNTS else c for c in _BUDGET_COLUMNS)
+
+
+@query("a1_moved_columns", f"SELECT formato, {_BUDGET_VALUES} FROM budget, {_EACH_FORMAT}")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    raw = src.under_headers(src.budget(spark, sf), "presupuesto")
+    turned = raw.select(*[F.col(f"`{c}`") for c in reversed(raw.columns)])
+    even = F.col("MES") % 2 == 0
+    found = {}
+    for fmt, sources in _landed_parts(spark, "presupuesto", raw.where(even), turned.where(~even)).items():
+        values = [
+            F.col(f"`{f.name}`").cast(f.dataType).alias(c)
+            for f, c in zip(LANDING["presupuesto"].fields, _BUDGET_COLUMNS, strict=True)
+        ]
+        found[fmt] = read_source(spark, sources, "presupuesto").select(*values)
+    return _each(found)
+
+
+@query(
+    "a1_missing_in_one_file",
+    f"""SELECT formato, 'DESCRIP2' AS columna, 1 AS archivos, count(*) AS filas_completas
+    FROM budget, {_EACH_FORMAT} WHERE mes % 2 = 0 GROUP BY formato""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    raw = src.under_headers(src.budget(spark, sf), "presupuesto")
+    even = F.col("MES") % 2 == 0
+    whole, short = raw.where(even), raw.where(~even).drop("DESCRIP2").coalesce(1)
+    found = {}
+    for fmt, sources in _landed_parts(spark, "presupuesto", whole, short).items():
+        lacking = missing_columns(spark, sources, "presupuesto")
+        complete = read_source(spark, _landed_parts(spark, "presupuesto", whole)[fmt], "presupuesto")
+        rows = complete.agg(F.count("*").alias("filas_completas"))
+        columns = lacking.groupBy("columna").agg(F.count("*").alias("archivos"))
+        found[fmt] = columns.join(F.broadcast(rows))
+    return _each(found)
+
+
+@query(
+    "a1_mixed_number_types",
+    f"""SELECT formato, categoria, count(*) AS filas, sum(CASE l % 3
+      WHEN 0 THEN floor(v) WHEN 1 THEN v ELSE v + 0.125 END) AS valor
+    FROM (SELECT p_type AS categoria, l_orderkey AS l, CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2))
+        * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS DOUBLE) AS v
+      FROM lineitem JOIN part ON p_partkey = l_partkey), {_EACH_FORMAT}
+    GROUP BY ALL""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    # Files with whole amounts, with decimals and with floating point.
+    raw = src.sales(spark, sf, ["categoria", "valor_antes_de_iva"], keys=True)
+    amount = F.col("valor_antes_de_iva")
+    kinds = (F.floor(amount).cast("bigint"), amount, amount.cast("double") + 0.125)
+    parts = [
+        raw.where(F.col("l_orderkey") % 3 == i).select(
+            *[
+                {"CATEGORIA": F.col("categoria"), "Valor Antes de iva": kind}
+                .get(h, F.lit(None).cast("string"))
+                .alias(h)
+                for h in LANDING["ventas"].names
+            ]
+        )
+        for i, kind in enumerate(kinds)
+    ]
+    found = {}
+    for fmt, sources in _landed_parts(spark, "ventas", *parts).items():
+        value = F.sum(F.col("`Valor Antes de iva`").cast("decimal(28,3)")).cast("double")
+        landed = read_source(spark, sources, "ventas").groupBy(F.col("CATEGORIA").alias("categoria"))
+        found[fmt] = landed.agg(F.count("*").alias("filas"), value.alias("valor"))
+    return _each(found)
+
+
 @query(
     "b15_landed_formats",
     """SELECT formato, count(*) AS filas, sum(CAST(valor_antes_de_iva AS DOUBLE)) AS valor
@@ -90,11 +194,17 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "a3_first_rows",
-    f"""SELECT * REPLACE (CAST(valor_antes_de_iva AS DOUBLE) AS valor_antes_de_iva) FROM sales
-    ORDER BY {", ".join(f"{c} ASC NULLS FIRST" for c in _SALES_ORDER)} LIMIT 100""",
+    f"""SELECT * EXCLUDE (k, l) FROM (SELECT {_HEADED}, k, l FROM sales_keyed) ORDER BY k, l LIMIT 100""",
+    sales_keyed=VIEWS["sales"].replace(
+        "\nFROM lineitem", ", l_orderkey AS k, l_linenumber AS l\nFROM lineitem", 1
+    ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return first_rows(src.sales(spark, sf), 100, _SALES_ORDER)
+    # Files of sorted rows, whose first rows are those that come first in them.
+    sources = landing_sources(_folder(spark, "landing"))
+    keyed = src.sales(spark, sf, keys=True).orderBy("l_orderkey", "l_linenumber")
+    src.under_headers(keyed, "ventas").write.parquet(sources["ventas"].path)
+    return first_rows(read_source(spark, sources, "ventas", order=PLACE), 100)
 
 
 @query(
@@ -107,15 +217,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
       FROM fact_gestion_tmk GROUP BY ALL""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    mart, _result = loaded(spark, sf)
+    # A mart of its own, loaded twice: the second load replaces all that the first one wrote.
+    mart, _result = fresh_load(spark, sf)
+    run_load(mart, src.raw_sources(spark, sf))
     parts = []
     for table, measure in (
         ("fact_ventas", "valor_antes_iva"),
         ("fact_presupuesto", "tyt"),
         ("fact_gestion_tmk", "cantidad"),
     ):
-        # A second full load of the same rows, out of the version it replaces.
-        mart.replace(table, mart.read(table))
         parts.append(
             mart.read(table)
             .groupBy(F.col("sk_region").alias("sk"))
@@ -172,10 +282,17 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return dims.merge_counts(_region_merge(spark, sf))
 
 
+def _natural_key(table: str, text: str = "VARCHAR") -> str:
+    """The whole natural key as one text, the same expression in both engines."""
+    parts = [f"coalesce(CAST({c} AS {text}), '-')" for c in dims.ALL_DIMENSIONS[table].key]
+    return " || '/' || ".join(parts)
+
+
 @query(
     "a6_seed_members",
     " UNION ALL ".join(
-        f"SELECT '{table}' AS tabla, {STAR[table].names[0]} AS sk FROM {table}" for table in DIMENSIONS
+        f"SELECT '{table}' AS tabla, {STAR[table].names[0]} AS sk, {_natural_key(table)} AS nk FROM {table}"
+        for table in DIMENSIONS
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,7 +303,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         # Members without their fixed rows, then seeded twice: the second time adds nothing.
         bare = tables[table].where(F.col(sk) > (0 if table != "dim_validez_venta" else 2))
         seeded = dims.ensure_seeds(dims.ensure_seeds(bare, table), table)
-        parts.append(seeded.select(F.lit(table).alias("tabla"), F.col(sk).alias("sk")))
+        nk = F.expr(_natural_key(table, "string")).alias("nk")
+        parts.append(seeded.select(F.lit(table).alias("tabla"), F.col(sk).alias("sk"), nk))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -203,7 +321,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
         df.agg(
             F.lit(table).alias("tabla"),
-            F.lit(len(df.columns)).alias("columnas"),
+            F.lit(len(df.drop(PERIOD.name).columns)).alias("columnas"),
             F.count("*").alias("filas"),
         )
         for table, df in mart.read_all().items()
@@ -228,6 +346,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return cal.backfill_master_columns(older)
 
 
+@query(
+    "a8_calendar_migration",
+    """SELECT CAST(fecha AS VARCHAR) AS fecha, es_habil, es_festivo, CAST(NULL AS VARCHAR) AS nombre_festivo
+    FROM dim_tiempo""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored calendar from before the three later columns, brought up to date in its mart."""
+    later = ("es_festivo", "nombre_festivo", "es_habil")
+    mart = new_mart(spark)
+    spark.sql(f"CREATE DATABASE {mart.database}")
+    older = loaded(spark, sf)[1].tables["dim_tiempo"].drop(*later)
+    older.write.option("path", f"{mart.location}/dim_tiempo/old").saveAsTable(mart.name("dim_tiempo"))
+    mart.create()
+    evolve(mart)
+    return spark.table(mart.name("dim_tiempo")).select("fecha", *later)
+
+
 @query(
     "a9_export",
     """SELECT formato, codigo_factura, count(*) AS ocurrencias

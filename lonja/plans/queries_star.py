@@ -10,7 +10,7 @@ from lonja.operators import quality
 from lonja.operators.facts import FACT_SPECS, build_fact, lookup_key
 from lonja.plans.registry import loaded, query, star
 from lonja.sources import analogues as src
-from lonja.sources.schemas import DIMENSIONS, FACTS, STAR
+from lonja.sources.schemas import DIMENSIONS, FACTS, PERIOD, STAR
 
 
 def _frames(spark: SparkSession, sf: str, table: str) -> dict[str, DataFrame]:
@@ -101,7 +101,7 @@ def _fact_query(table: str, name: str, amounts: tuple[str, ...]) -> None:
     def _(spark: SparkSession, sf: str) -> DataFrame:
         result = loaded(spark, sf)[1]
         fact = build_fact(spec, result.ruled[spec.source], result.tables, "2026-01-01 00:00:00")
-        return fact.drop(spec.sk, "fecha_carga_dw")
+        return fact.drop(spec.sk, "fecha_carga_dw", PERIOD.name)
 
 
 _fact_query("fact_ventas", "f1_fact_ventas", ("valor_antes_iva", "cuotas"))
@@ -285,12 +285,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT 'extract' AS etapa, 'ventas' AS tabla, count(*) AS filas FROM sales_raw UNION ALL
     SELECT 'extract', 'presupuesto', count(*) FROM budget UNION ALL
     SELECT 'extract', 'registros', count(*) FROM contacts UNION ALL
-    SELECT e, 'ventas', count(*) FROM ventas, (VALUES ('transform'), ('business_rules')) AS s(e)
-      GROUP BY ALL UNION ALL
-    SELECT e, 'presupuesto', count(*) FROM presupuesto,
-      (VALUES ('transform'), ('business_rules')) AS s(e) GROUP BY ALL UNION ALL
-    SELECT e, 'registros', count(*) FROM registros,
-      (VALUES ('transform'), ('business_rules')) AS s(e) GROUP BY ALL UNION ALL
+    SELECT 'transform', 'ventas', count(*) FROM sales_clean UNION ALL
+    SELECT 'transform', 'presupuesto', count(*) FROM budget_clean UNION ALL
+    SELECT 'transform', 'registros', count(*) FROM contacts_clean UNION ALL
+    SELECT 'business_rules', 'ventas', count(*) FROM ventas UNION ALL
+    SELECT 'business_rules', 'presupuesto', count(*) FROM presupuesto UNION ALL
+    SELECT 'business_rules', 'registros', count(*) FROM registros UNION ALL
     SELECT 'load', tabla, filas FROM counts""",
     counts=_COUNTS,
 )

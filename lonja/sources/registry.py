@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lonja.sources.landing import (
+    file_schemas,
+    files_of,
+    lacking_columns,
+    read_files,
+    require_columns,
+)
 from lonja.sources.schemas import HOLIDAYS, LANDING
 
+# Column of ``read_source(order=...)`` by which a load takes its first rows; it is no source column.
+PLACE = "_src_place"
+
 
 # Every format gives its values as the file holds them; text formats give text, and a broken
 # line fails the job instead of becoming a row of nulls.
@@ -39,33 +49,50 @@ def landing_sources(root: str, fmt: str = "parquet") -> dict[str, Source]:
     }
 
 
+def _files(
+    spark: SparkSession, key: str, source: Source
+) -> tuple[Callable[[], DataFrameReader], list[str]]:
+    """How a source is read, and its files."""
+    options = {**_OPTIONS.get(source.format, {}), **dict(source.options)}
+    try:
+        files = files_of(spark, source.path, options)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        files = []
+    if not files:
+        raise FileNotFoundError(f"source {key!r} has no file at {source.path}")
+    return lambda: spark.read.format(source.format).options(**options), files
+
+
 def read_source(
     spark: SparkSession, sources: Mapping[str, Source], key: str, order: str | None = None
 ) -> DataFrame:
     """Read the declared columns of one registered source, with the types of its files.
 
-    Fails when a declared column is missing; other columns are left out. Types are given by the
-    cleaning, the same way for every format. ``order`` names a column to add that sorts rows by
-    file name and place in the file.
+    Fails, with the files' names, when a file lacks a declared column; other columns are left
+    out. Columns are found by name in every file, whatever their order there, and a column whose
+    type differs between files takes one that holds all. Files without content are no files. The
+    cleaning gives the types, the same way for every format. ``order`` names a column to add that
+    sorts rows by file name and place in the file.
     """
     if key not in sources:
         raise KeyError(f"unknown source {key!r}; registered: {', '.join(sorted(sources))}")
     source = sources[key]
-    options = {**_OPTIONS.get(source.format, {}), **dict(source.options)}
-    try:
-        found = spark.read.format(source.format).options(**options).load(source.path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            raise FileNotFoundError(f"source {key!r} has no file at {source.path}") from error
-        raise
-    missing = [name for name in source.schema.names if name not in found.columns]
-    if missing:
-        raise ValueError(f"source {key!r} lacks the columns {', '.join(missing)}")
-    columns = [F.col(f"`{name}`") for name in source.schema.names]
-    if order:
-        place = ("_metadata.file_path", "_metadata.file_block_start")
-        columns.append(F.struct(*place, F.monotonically_increasing_id()).alias(order))
-    return found.select(*columns)
+    reader, files = _files(spark, key, source)
+    schemas = file_schemas(reader, files)
+    require_columns(key, schemas, source.schema.names)
+    by_position = source.format == "csv"
+    return read_files(reader, source.path, schemas, source.schema.names, by_position, order)
+
+
+def missing_columns(spark: SparkSession, sources: Mapping[str, Source], key: str) -> DataFrame:
+    """Every file of a source that lacks a declared column, as ``(fuente, archivo, columna)``."""
+    source = sources[key]
+    reader, files = _files(spark, key, source)
+    lacking = lacking_columns(file_schemas(reader, files), source.schema.names)
+    rows = [(key, file, column) for file, columns in lacking.items() for column in columns]
+    return spark.createDataFrame(rows, "fuente string, archivo string, columna string")
 
 
 def read_all_sources(spark: SparkSession, sources: Mapping[str, Source]) -> dict[str, DataFrame]:
@@ -73,6 +100,11 @@ def read_all_sources(spark: SparkSession, sources: Mapping[str, Source]) -> dict
     return {key: read_source(spark, sources, key) for key in sources}
 
 
-def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in a stated order; a frame itself has none."""
+def first_rows(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows in file order where ``df`` knows it, else in a stated order.
+
+    Every task keeps its first ``n`` rows, so no more than these are shuffled.
+    """
+    if PLACE in df.columns:
+        return df.orderBy(PLACE).limit(n).drop(PLACE)
     return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order_by]).limit(n)

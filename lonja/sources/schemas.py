@@ -316,6 +316,10 @@ STAR: dict[str, StructType] = {
 DIMENSIONS = tuple(name for name in STAR if name.startswith("dim_"))
 FACTS = tuple(name for name in STAR if name.startswith("fact_"))
 
+# Month of a fact row's date as yyyymm, 0 without a date: the folders of a fact's files. It is no
+# column of the data model.
+PERIOD = StructField("_periodo", INT, nullable=False)
+
 # The unknown member of each dimension (sk 0) and the four validity rows.
 UNKNOWN_KEY = "NO_INFORMADO"
 UNKNOWN_LABEL = "No informado"

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
+from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +17,12 @@ from lonja.session import shared_folder
 
 ROW = "_src_row"
 
+# Independent table writes run side by side; the cluster's scheduler shares the executors.
+CONCURRENT_WRITES = 8
+
+# Folder of the frames that a load stages; they go when the load's state goes.
+_SCOPE: ContextVar[str | None] = ContextVar("staged", default=None)
+
 # monotonically_increasing_id() keeps the row position in its low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
 
@@ -36,9 +46,32 @@ def _literal(value: object) -> str:
     return str(value).lower()
 
 
+def new_staging_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged/load-{uuid4().hex}"
+
+
+@contextmanager
+def staging_in(folder: str) -> Iterator[None]:
+    """Stage all frames in ``folder`` meanwhile, so that they can be deleted together."""
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
+def side_by_side(function: Callable[[Any], Any], items: Iterable[Any]) -> list:
+    """The results of ``function`` for all items, each in a thread that stages where this one does."""
+    items = list(items)
+    scopes = [copy_context() for _ in items]
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        return list(pool.map(lambda scope, item: scope.run(function, item), scopes, items))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
-    path = f"{shared_folder(df.sparkSession)}/staged/{name}-{uuid4().hex}"
+    folder = _SCOPE.get() or f"{shared_folder(df.sparkSession)}/staged"
+    path = f"{folder}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -22,13 +22,13 @@ def test_validity_codes(spark):
         (None, "SI", 4),
     ]
     df = spark.createDataFrame(rows, "codigo_factura string, nota_credito string, want bigint")
-    coded = rules.assign_validity(df)
+    coded = rules.sale_validity(df)
     assert coded.where("sk_validez <> want or sk_validez is null").count() == 0
     assert coded.where("es_venta_valida <> (sk_validez = 1)").count() == 0
 
 
 def test_absent_columns_give_false_flags(spark):
-    row = rules.assign_validity(spark.range(1)).first()
+    row = rules.sale_validity(spark.range(1)).first()
     assert (row["tiene_factura"], row["tiene_nota_credito"], row["sk_validez"]) == (False, False, 2)
     flags = rules.flag_contact_type(spark.range(1)).first()
     assert [flags[c] for c in rules.CONTACT_FLAGS] == [False, False, False]
