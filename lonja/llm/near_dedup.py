@@ -41,7 +41,7 @@ PERCENT = 75
 COORDINATES = 48
 MATCHES = 20
 
-_SIGNED = "doc_id bigint, n_shingles bigint, node bigint, keys array<bigint>"
+_SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, keys array<bigint>"
 _CONFIRMED = (
     "x bigint, y bigint, n_common bigint, n_x bigint, n_y bigint, linked boolean, "
     "missing array<int>, extra array<bigint>"
@@ -88,11 +88,12 @@ def _signer(width: int, coordinates: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "node", "keys"],
+                ["doc_id", "text_hash", "n_shingles", "node", "keys"],
             )
 
     return sign
@@ -194,6 +195,7 @@ def near_duplicates(
     settings = {"width": width, "percent": percent, "matches": matches}
     small_batches(docs, 256)
     source = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), binary(text).alias("text"))
+    source = source.withColumn("text_hash", F.xxhash64("text"))
     signed = stage(source.mapInArrow(_signer(width, coordinates), _SIGNED), "signed")
     members = signed.select("doc_id", "n_shingles", "node")
 
@@ -217,7 +219,8 @@ def near_duplicates(
     merged = stage(prefix.join(hubs, "key").select("key", "node", "hub"), "merged")
     candidates = merged.select("node").distinct()
     keys = keys.join(candidates, "node")
-    chosen = members.join(candidates, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    row = F.min(F.struct("doc_id", "text_hash")).alias("row")
+    chosen = signed.join(candidates, "node").groupBy("node").agg(row).select("node", "row.*")
     texts = stage(_texts(source, chosen, width), "texts")
     keys = stage(keys, "keys")
 
@@ -245,18 +248,22 @@ def near_duplicates(
 
 
 def _texts(source: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
-    """node and text of each candidate class, read from one of its documents."""
+    """node and text of each candidate class, read from one of its documents.
+
+    A document is found by its id and the hash of its text, so that rows without an id, or with
+    the same one, meet only where their texts are equal too.
+    """
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             sets = shingle_sets(texts, width)
-            # An id may come with several texts.
+            # Unlike texts may have one hash.
             nodes = batch.column("node").to_pylist()
             own = [len(s) > 0 and _number(s) == n for s, n in zip(sets, nodes, strict=True)]
             yield batch.filter(pa.array(own, pa.bool_()))
 
-    same = source["doc_id"].eqNullSafe(chosen["doc_id"])
+    same = source["doc_id"].eqNullSafe(chosen["doc_id"]) & (source["text_hash"] == chosen["text_hash"])
     picked = source.join(chosen, same).select("node", "text")
     rows = picked.mapInArrow(pick, "node bigint, text binary")
     return rows.groupBy("node").agg(F.first("text").alias("text"))
