@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lonja.llm.texts import mix, small_batches, unpacked, whole_rows
+from lonja.sources.staging import stage
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -76,6 +77,14 @@ def triple_counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     return distinct, np.bincount(numbers)
 
 
+def shares(counts: np.ndarray) -> np.ndarray:
+    """What each triple of a text adds: its part of ``_SHARE``, 1 at least, in whole numbers.
+
+    So sums are exact in any order, and the rare triples of a very long text count too.
+    """
+    return np.maximum(1, np.rint(counts * (_SHARE / counts.sum())))
+
+
 class Binder:
     """Vectors of letter triples; sums of whole numbers in float64 are exact."""
 
@@ -156,7 +165,7 @@ def prototypes(
             for name, own in by_lang.items():
                 triples = np.concatenate([t for t, _ in own])
                 numbers, distinct = pd.factorize(triples)
-                weights = np.concatenate([np.rint(n * (_SHARE / n.sum())) for _, n in own])
+                weights = np.concatenate([shares(n) for _, n in own])
                 counts = np.bincount(numbers, weights=weights)[None, :]
                 sums[name] = sums.get(name, 0) + binder.bundle(distinct, counts)[0]
             if len(sums) >= LANGUAGES_A_PASS:
@@ -181,27 +190,40 @@ def languages(
     Rows where ``learn`` is true and neither ``lang`` nor the text is null are learnt from; a
     prediction sees the text alone. ``score`` is the cosine, 0 if negative. A null text or one
     without a letter is `und` with score 0, and so is any text if nothing was learnt; of equal
-    languages the first by name wins. Repeated rows get equal results. The learnt vectors, one
-    per language, come to the driver; beyond 512 languages the texts are compared in several
-    passes. Other columns pass through whatever their names; ``result`` must be free.
+    languages the first by name wins. Repeated rows get equal results. Texts of any length are
+    read in pieces and learnt from whole. The learnt vectors are written to the shared folder and
+    come to the driver for 512 languages at a time; the texts are compared in as many passes.
+    Other columns pass through whatever their names; ``result`` must be free.
     """
     small_batches(docs, 256)
-    learnt: dict[str, np.ndarray] = {}
-    for row in prototypes(docs, learn, text, lang, dimensions).collect():
-        own = learnt.setdefault(row["lang"], np.zeros(dimensions))
-        own[row["place"]] = row["value"]
-    names = sorted(n for n, v in learnt.items() if v.any())
+    learnt = stage(prototypes(docs, learn, text, lang, dimensions), "languages")
     kind = "struct<lang_pred:string,score:double>"
     start = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")).cast(kind)
     out = whole_rows(docs, text=F.col(f"`{text}`"), result=start)
     schema = out.schema
-    for at in range(0, len(names), LANGUAGES_A_PASS):
-        block = names[at : at + LANGUAGES_A_PASS]
-        matrix = np.stack([learnt[n] / np.linalg.norm(learnt[n]) for n in block])
-        out = out.mapInArrow(_comparer(block, matrix.astype(np.float32), dimensions), schema)
+    for block, matrix in _blocks_of(learnt, dimensions):
+        out = out.mapInArrow(_comparer(block, matrix, dimensions), schema)
     return unpacked(out, docs.columns, result)
 
 
+def _blocks_of(learnt: DataFrame, dimensions: int) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Names in rising order and their vectors of length one, ``LANGUAGES_A_PASS`` at a time."""
+    names = learnt.groupBy("lang").agg(F.max(F.abs("value")).alias("most")).where("most > 0")
+    last = F.lit(True)
+    while block := [
+        r["lang"] for r in names.where(last).orderBy("lang").limit(LANGUAGES_A_PASS).collect()
+    ]:
+        matrix = np.zeros((len(block), dimensions))
+        places = {name: i for i, name in enumerate(block)}
+        inside = F.col("lang").between(block[0], block[-1])
+        for row in learnt.where(inside).collect():
+            if row["lang"] in places:
+                matrix[places[row["lang"]], row["place"]] = row["value"]
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+        yield block, matrix.astype(np.float32)
+        last = F.col("lang") > block[-1]
+
+
 def _comparer(block: list[str], matrix: np.ndarray, dimensions: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         binder = Binder(dimensions)

@@ -186,3 +186,45 @@ class Ppm:
     def score(self, data: bytes) -> float:
         data = self._padded(data)
         return sum(self.log10(data[i - self.order : i], data[i]) for i in range(self.order, len(data)))
+
+
+def letter_triples(text: str) -> Counter:
+    """Triples of the lower-cased letters, with one space for anything between and at both ends."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    spaced = f" {' '.join(letters.split())} "
+    return Counter(zip(spaced, spaced[1:], spaced[2:]))
+
+
+def languages(rows: list, learn: list[bool], vectors, share: int) -> list[tuple[str, float]]:
+    """(name, cosine) of each row of (id, text, lang), from plain sums of triples' vectors."""
+    import numpy as np
+
+    signs: dict[str, np.ndarray] = {}
+
+    def vector(triple: tuple[str, str, str]) -> np.ndarray:
+        for c in triple:
+            if c not in signs:
+                signs[c] = vectors(np.array([ord(c)]), 1024)[0].astype(float)
+        a, b, c = (signs[x] for x in triple)
+        return np.roll(a, 2) * np.roll(b, 1) * c
+
+    def bundle(counts: dict) -> np.ndarray:
+        return sum((n * vector(t) for t, n in counts.items()), np.zeros(1024))
+
+    found = [letter_triples(text) if text and any(c.isalpha() for c in text) else None for _, text, _ in rows]
+    learnt: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(1024))
+    for (_, _, lang), counts, own in zip(rows, found, learn, strict=True):
+        if own and lang is not None and counts:
+            total = sum(counts.values())
+            learnt[lang] += bundle({t: max(1, round(n * (share / total))) for t, n in counts.items()})
+    out = []
+    for counts in found:
+        best = ("und", 0.0)
+        if counts:
+            own = bundle(counts)
+            for name in sorted(learnt):
+                cosine = own @ learnt[name] / max(np.linalg.norm(own) * np.linalg.norm(learnt[name]), 1e-9)
+                if best[0] == "und" or cosine > best[1]:
+                    best = (name, max(0.0, float(cosine)))
+        out.append(best)
+    return out

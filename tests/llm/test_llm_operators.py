@@ -263,6 +263,49 @@ def test_languages(spark):
     assert [r.lang_pred for r in blind.collect()] == ["und"]
 
 
+def test_languages_of_the_documents(spark, sf):
+    """Every prediction against plain sums of vectors, and those of held-out texts against lang."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    rows = [tuple(r) for r in rows] + [(9001, "aaa " * 40_000 + "qwx", "de"), (9002, None, "en"), (None, "Ab", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learn = [r[0] is not None and r[0] % 4 != 2 for r in rows]
+    found = {
+        r.doc_id: r.language for r in language_id.languages(docs, F.col("doc_id") % 4 != 2).collect()
+    }
+    expected = brute.languages(rows, learn, language_id._vectors, language_id._SHARE)
+    for (doc_id, _, _), (name, score) in zip(rows, expected, strict=True):
+        assert found[doc_id].lang_pred == name and abs(found[doc_id].score - score) < 1e-4
+    held_out = [(r, e) for r, e, own in zip(rows, expected, learn, strict=True) if not own and r[0] and r[1] and r[2]]
+    right = sum(r[2] == e[0] for r, e in held_out)
+    assert len(held_out) > 20 and right >= 0.9 * len(held_out)
+
+
+def test_rare_triples_of_a_long_text_count():
+    shares = language_id.shares(np.array([30_000_000, 2, 1]))
+    assert shares[0] > 1 << 19 and shares[1:].tolist() == [1, 1]
+
+
+def test_languages_in_blocks(spark, monkeypatch):
+    """More languages than are compared at a time."""
+    monkeypatch.setattr(language_id, "LANGUAGES_A_PASS", 2)
+    rows = [(i, f"{chr(97 + i) * 3} {chr(98 + i) * 2}", f"l{i}") for i in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language_id.languages(docs, F.lit(True)).collect()
+    assert all(r.language.lang_pred == r.lang for r in found)
+
+
+def test_near_duplicates_without_ids(spark):
+    """Rows without an id, or with one id and other texts, are found by their texts."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        words = [f"w{j}" for j in rng.integers(0, 50_000, 60)]
+        near = [*words[:59], "other"]
+        rows += [(None, " ".join(words)), (None if i % 2 else 5, " ".join(near))]
+    found = near_dedup.near_duplicates(frame(spark, rows))
+    same(found, ["doc_id", "n_shingles", "component_id", "kept"], brute.near(rows))
+
+
 def test_triples_across_steps(monkeypatch):
     text = "ab,, cDİ x" * 50
     whole = dict(zip(*map(list, language_id.triple_counts(text)), strict=True))
@@ -393,9 +436,9 @@ def test_queries_and_stages(spark, sf):
 
     queries, statements = driver.queries(), driver.oracle_sql()
     names = [n for n in queries if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert {n for n in names if n in statements} == {
-        n for n in names if int(n[2:].split("_")[0]) in (1, 3, 6, 7, 9)
+        n for n in names if int(n[2:].split("_")[0]) in (1, 3, 6, 7, 9, 11, 13)
     }
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     sizes, now = [docs.count()], docs
