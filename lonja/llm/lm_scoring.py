@@ -100,10 +100,34 @@ def _gram_counts(texts: list[bytes], train: np.ndarray, order: int) -> tuple[np.
         learn = np.repeat(train[first : first + len(sizes)], sizes)
         keys.append(distinct)
         counts.append(np.bincount(codes[learn], minlength=len(distinct)))
-    codes, distinct = pd.factorize(np.concatenate(keys), sort=True)
+    codes, distinct = _merged(keys)
     return distinct, np.bincount(codes, weights=np.concatenate(counts)).astype(np.int64)
 
 
+def _merged(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Place of every key among the distinct ones of all steps, and these in rising order."""
+    return pd.factorize(np.concatenate(keys), sort=True)
+
+
+def _gram_places(texts: list[bytes], order: int) -> tuple[np.ndarray, list[tuple]]:
+    """The byte strings of ``_gram_counts``, and per step the place of every symbol's among them."""
+    keys, steps = [], []
+    for _, strings, starts, sizes in _steps(texts, order):
+        codes, distinct = pd.factorize(strings)
+        keys.append(distinct)
+        steps.append((codes.astype(np.int32), starts, sizes))
+    places, grams = _merged(keys)
+    own = np.split(places, np.cumsum([len(k) for k in keys])[:-1])
+    return grams, [(place, *step) for place, step in zip(own, steps, strict=True)]
+
+
+def _dealt(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the byte strings by bucket, in rising order in each, and where each bucket starts."""
+    bucket = grams % buckets
+    place = np.argsort(bucket, kind="stable")
+    return place, np.searchsorted(bucket[place], np.arange(buckets + 1))
+
+
 def _lists(kind: pa.DataType, values: list) -> pa.Array:
     return pa.array(values, pa.list_(kind))
 
@@ -195,6 +219,7 @@ def text_scores(
     def count_words(key: tuple, table: pa.Table) -> pa.Table:
         counts = _word_counts(*read(table))
         dealt = _by_bucket(sorted(counts), chunks)
+        # Empty lists too: each bucket answers every chunk with its totals.
         return pa.table(
             {
                 "bucket": pa.array(range(chunks), pa.int32()),
@@ -207,12 +232,13 @@ def text_scores(
     def count_grams(key: tuple, table: pa.Table) -> pa.Table:
         texts, train = read(table)
         grams, counts = _gram_counts(texts, np.array(train, dtype=bool), order)
-        place = grams % chunks
-        own = [place == b for b in range(chunks)]
+        place, ends = _dealt(grams, chunks)
+        full = np.flatnonzero(np.diff(ends)).tolist()
+        own = [place[ends[b] : ends[b + 1]] for b in full]
         return pa.table(
             {
-                "bucket": pa.array(range(chunks), pa.int32()),
-                "chunk": pa.array([key[0].as_py()] * chunks, pa.int32()),
+                "bucket": pa.array(full, pa.int32()),
+                "chunk": pa.array([key[0].as_py()] * len(full), pa.int32()),
                 "grams": _lists(pa.int64(), [grams[o] for o in own]),
                 "counts": _lists(pa.int64(), [counts[o] for o in own]),
             }
@@ -265,37 +291,37 @@ def text_scores(
         if not texts:
             return _append(table, [])
         replies = answers.select(["words", "bucket", "tokens", "types", "found"])
-        found: dict[bool, list] = {True: [None] * chunks, False: [None] * chunks}
-        tokens = types = 0
+        found: dict[bool, list] = {k: [np.empty(0)] * chunks for k in (True, False)}
         kinds, buckets = replies.column("words").to_pylist(), replies.column("bucket").to_pylist()
         tokens = sum(replies.column("tokens").to_pylist())
         types = sum(replies.column("types").to_pylist())
         for kind, bucket, own in zip(kinds, buckets, _arrays(replies.column("found")), strict=True):
             found[kind][bucket] = own
 
-        vocabulary = sorted({w for t in texts for w in t.split()} | {_END})
+        split = [t.split() for t in texts]
+        vocabulary = sorted({_END}.union(*split))
         logs: dict[bytes, float] = {}
         for words, own in zip(_by_bucket(vocabulary, chunks), found[True], strict=True):
             values = np.where(own > 0, np.log10(own + ADD), -1.0).tolist()
             logs.update(zip(words, values, strict=True))
         base, known, sizes = [], [], []
         whole = float(np.log10(tokens + ADD * (types + 1)))
-        for text_ in texts:
-            values = [logs[w] for w in text_.split()]
+        for words in split:
+            values = list(map(logs.__getitem__, words))
             values.append(logs[_END])
             sizes.append(len(values))
             known.append(len(values) - values.count(-1.0))
             base.append(sum(values) - len(values) * whole)
 
-        grams = _gram_counts(texts, np.zeros(len(texts), dtype=bool), order)[0]
+        grams, steps = _gram_places(texts, order)
         values = np.empty(len(grams))
-        for bucket, own in enumerate(found[False]):
-            values[grams % chunks == bucket] = own
-        index = pd.Index(grams)
+        by_bucket, ends = _dealt(grams, chunks)
+        for bucket in np.flatnonzero(np.diff(ends)).tolist():
+            values[by_bucket[ends[bucket] : ends[bucket + 1]]] = found[False][bucket]
         scores: list[float] = []
         symbols: list[int] = []
-        for _, strings, starts, lengths in _steps(texts, order):
-            scores += np.add.reduceat(values[index.get_indexer(strings)], starts).tolist()
+        for place, codes, starts, lengths in steps:
+            scores += np.add.reduceat(values[place][codes], starts).tolist()
             symbols += lengths.tolist()
         rows = zip(sizes, known, [tokens] * len(texts), base, scores, symbols, strict=True)
         return _append(table, list(rows))
