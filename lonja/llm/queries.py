@@ -59,6 +59,15 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text in SQL: every byte is followed by eight shifts of one bit."""
+    steps = f"""flatten(list_transform(string_split({text}, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"""
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], {steps}),
+        lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+        4294967295)"""
+
+
 _A, _Z = string.ascii_uppercase, string.ascii_lowercase
 
 
@@ -384,7 +393,42 @@ def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.select(*columns).unionByName(lent.select(*columns)), convs.select("conv")
 
 
-@query("op11_prefix_trie")
+@query(
+    "op11_prefix_trie",
+    f"""
+WITH t AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+    FROM conversations GROUP BY conv_id
+), c AS (
+    SELECT *, coalesce({_crc32("conv_id::VARCHAR")} % 9, 0) AS h, conv_id - conv_id % 5 AS base FROM t
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(CASE WHEN c.h > 0 THEN coalesce(list_slice(b.l, 1, c.h), []) ELSE [] END,
+        list_slice(c.l, c.h + 1, len(c.l))) AS l
+    FROM c LEFT JOIN t b ON b.conv_id = c.base
+), members AS (
+    SELECT conv_id, len(l) AS size, d, list_slice(l, 1, d) AS node
+    FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS sha
+    FROM members GROUP BY node, d
+), children AS (
+    SELECT list_slice(node, 1, d - 1) AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), valued AS (
+    SELECT nodes.*, coalesce(n, 0) AS n_children,
+        CASE WHEN d > 0 THEN (n_convs - 1) * strlen(node[-1].x) ELSE 0 END AS own
+    FROM nodes LEFT JOIN children USING (node)
+), sums AS (
+    SELECT list_slice(node, 1, up) AS node, sum((n_children = 0)::BIGINT) AS n_leaves, sum(own) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM valued) GROUP BY 1
+)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+    n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, v.sha AS ends_sha256
+FROM valued v JOIN sums USING (node)
+LEFT JOIN nodes p ON v.d > 0 AND p.node = list_slice(v.node, 1, v.d - 1)
+""",
+)
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     trie = prefix_trie.prefix_trie(*rebuilt_turns(conversations))
@@ -434,7 +478,75 @@ def damaged(conversations: DataFrame) -> DataFrame:
     return rows.drop("copy")
 
 
-@query("op13_structure_repair")
+@query(
+    "op13_structure_repair",
+    f"""
+WITH RECURSIVE hit AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS fault
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hit, range(0, 2) AS copies(k) WHERE fault <> 0 AND (k = 0 OR fault = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        substr(role, 1, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged
+), judged AS (
+    SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (
+            PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+        coalesce(lag(initial) OVER w || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+    FROM placed WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+), rows AS (
+    SELECT *, NOT blank AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM judged
+), sizes AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (cut) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM rows GROUP BY conv_id
+), inserted(state, middle, letters, spent, lines) AS (VALUES
+    ('^', '^', '', 0, []), ('s', 's', '', 0, []), ('u', 'u', '', 0, []), ('a', 'a', '', 0, []),
+    ('^', 'u', 'I', 2, ['user:']), ('s', 'u', 'I', 2, ['user:']), ('a', 'u', 'I', 2, ['user:']),
+    ('u', 'a', 'I', 2, ['assistant:']), ('^', 'a', 'II', 4, ['user:', 'assistant:']),
+    ('s', 'a', 'II', 4, ['user:', 'assistant:'])
+), edits(middle, letter, next, needs, costs) AS (VALUES
+    ('^', 'D', '^', NULL, 3), ('s', 'D', 's', NULL, 3), ('u', 'D', 'u', NULL, 3), ('a', 'D', 'a', NULL, 3),
+    ('^', 'K', 's', 's', 0), ('^', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('a', 'K', 'u', 'u', 0),
+    ('u', 'K', 'a', 'a', 0),
+    ('^', 'R', 'u', NULL, 2), ('s', 'R', 'u', NULL, 2), ('a', 'R', 'u', NULL, 2), ('u', 'R', 'a', NULL, 2)
+), ways AS (
+    SELECT state, next, inserted.letters || letter AS letters, letter, spent + costs AS spent, needs, lines
+    FROM inserted JOIN edits USING (middle)
+), paths AS (
+    SELECT conv_id, 0::BIGINT AS i, '^' AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS best
+    FROM sizes
+    UNION ALL
+    SELECT p.conv_id, p.i + 1, next, min({{
+        'cost': p.best.cost + spent + (letter <> 'D' AND cut)::BIGINT,
+        'audit': p.best.audit || letters,
+        'lines': list_concat(p.best.lines, list_concat(lines, CASE letter WHEN 'D' THEN []
+            WHEN 'K' THEN [role || ':' || text]
+            ELSE [CASE next WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text] END))}})
+    FROM paths p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    JOIN ways w ON w.state = p.state AND (letter = 'D' OR NOT blank AND NOT duplicate)
+        AND (needs IS NULL OR needs = initial)
+    GROUP BY p.conv_id, p.i, next
+), ended AS (
+    SELECT s.conv_id, min({{'cost': best.cost + spent, 'audit': best.audit || letters,
+        'lines': list_concat(best.lines, ins.lines)}}) AS best
+    FROM sizes s JOIN paths p ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.i = s.n
+    JOIN inserted ins ON ins.state = p.state AND (ins.middle = 'a' OR p.state = '^' AND ins.middle = '^')
+    GROUP BY s.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+""",
+)
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     result = structure_repair.repaired(damaged(conversations))

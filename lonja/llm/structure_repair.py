@@ -10,11 +10,12 @@ edit letters of its blocks, not its texts, pass one after the other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
@@ -26,6 +27,9 @@ from lonja.sources.staging import ROW, stage
 
 BLOCK_TURNS = 1024
 
+# Turns that one task searches.
+TURNS_A_TASK = 100_000
+
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -246,9 +250,13 @@ def repaired(
         F.transform(in_order, lambda r: r["code"]).alias("codes"),
         *[F.count_if(c).alias(c) for c in ("blank", "duplicate", "cut")],
     )
-    blocks = stage(blocks, "blocks")
+    seen = Observation()
+    blocks = stage(blocks.observe(seen, F.sum(F.size("codes")).alias("turns")), "blocks")
     layout = _layout(blocks.schema["conv"], _SEARCHED)
-    found = blocks.select("conv", "block", "first_row", "codes").mapInArrow(_searcher(layout), layout)
+    # A block is a few bytes a turn but takes its time: tasks by turns, not by bytes.
+    tasks = math.ceil((seen.get.get("turns") or 1) / TURNS_A_TASK)
+    dealt = blocks.select("conv", "block", "first_row", "codes").repartition(tasks)
+    found = dealt.mapInArrow(_searcher(layout), layout)
     layout = _layout(blocks.schema["conv"], _CHOSEN)
     ordered = found.repartition("conv").sortWithinPartitions("conv", "block")
     chosen = stage(ordered.mapInArrow(_chainer(layout), layout), "chosen")
