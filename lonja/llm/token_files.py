@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 from uuid import uuid4
 
 import numpy as np
@@ -42,28 +43,33 @@ ENCODINGS = {
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "v2"},
 }
 
-# Bytes of remembered pieces and ids; beyond it a worker starts to remember anew.
+# Bytes of remembered pieces and ids; beyond it a worker forgets the half that it met last, as
+# frequent pieces are met early.
 _MEMORY = 192 << 20
 
-# Text that is encoded in one call.
+# Text that is encoded in one call, and characters whose pieces are held at a time.
 _STEP = 64 << 10
+_GROUP = 1 << 18
 
-# A byte-level pre-tokenizer always starts a new piece at one space between two other characters.
+# A byte-level pre-tokenizer always starts a new piece at one space between two other characters,
+# at and after one newline between two, and between a letter or digit and one of these marks.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = ".,;:!?"
 
-
-def _bare(piece: str) -> bool:
-    """Neither empty nor with white space at an end."""
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+# Among pieces joined by zeros, one that is not bare: empty, or with white space at an end other
+# than a first newline.
+_JOIN = "\0"
+_NOT_BARE = re.compile(r"(?:\A|\0)(?:\n?(?:[^\S\n]|\0|\Z)|\n\n)|\s(?:\0|\Z)")
 
 
 class Encoder:
     """Texts to little-endian 32-bit ids by a byte-level tokenizer file, without special tokens.
 
     A text is cut where the tokenizer cuts it in any case, and a piece seen before is not encoded
-    again. New pieces are encoded together; as every id stands for a known number of bytes, their
-    ids are told apart by the pieces' lengths. So no long text is encoded as a whole, unless
-    nothing in it can be cut.
+    again. A piece is remembered as what follows a space, or a newline if it begins with one. New
+    pieces are encoded together; as every id stands for a known number of bytes, their ids are
+    told apart by the pieces' lengths. So no long text is encoded as a whole, unless nothing in
+    it can be cut.
     """
 
     def __init__(self, path: str):
@@ -84,6 +90,8 @@ class Encoder:
         for token, number in vocabulary.items():
             self._bytes[number] = len(token.encode()) if token in added else len(token)
         self._tokenizer = tokenizer
+        self._marks: dict[str, bytes] = {}
+        self._newline = len(self._ids("\n").tobytes())
         self._known: dict[str, bytes] = {}
         self._held = 0
 
@@ -92,45 +100,89 @@ class Encoder:
         return np.array(found.ids, dtype="<u4")
 
     def _learn(self, fresh: Sequence[str]) -> None:
-        """Remember the ids of bare pieces that follow a space."""
+        """Remember the ids of bare pieces that are not known yet."""
+        stems, marked = {}, []
+        for piece in fresh:
+            stem = piece.rstrip(_MARKS)
+            if stem is not piece and stem and stem[-1].isalnum():
+                marked.append((piece, stem))
+                piece = stem
+            if piece not in self._known:
+                stems[piece] = None
         start = size = 0
-        for i, piece in enumerate(fresh, 1):
-            size += len(piece) + 1
-            if size < _STEP and i < len(fresh):
-                continue
-            part = fresh[start:i]
-            ids = self._ids(" " + " ".join(part))
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
-            cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
-            data, at = ids.tobytes(), 0
-            for p, cut in zip(part, (4 * cuts).tolist(), strict=True):
-                self._known[p] = data[at:cut]
-                at = cut
-            # Four bytes a character at most, and what Python adds to pieces and ids.
-            self._held += 4 * size + len(data) + 150 * len(part)
-            start, size = i, 0
-
-    def _fresh(self, later: Sequence[str]) -> list[str]:
-        return [p for p in dict.fromkeys(later) if p not in self._known]
-
-    def encode(self, text: str) -> bytes:
-        first, *later = text.split(" ")
-        found = list(map(self._known.get, later))
-        last = b""
-        cut_well = not later or _bare("x" + first)
-        if None in found or not cut_well:
-            if self._held > _MEMORY:
-                self._known, self._held = {}, 0
-            fresh = self._fresh(later)
-            # Known pieces are bare.
-            if not cut_well or not all(map(_bare, fresh)):
-                first, *later = _CUT.split(text)
-                if later and not _bare(later[-1]):
-                    last = self._ids(" " + later.pop()).tobytes()
-                fresh = self._fresh(later)
-            self._learn(fresh)
-            found = map(self._known.__getitem__, later)
-        return self._ids(first).tobytes() + b"".join(found) + last
+        words = list(stems)
+        for i, word in enumerate(words, 1):
+            size += len(word) + 1
+            if size >= _STEP or i == len(words):
+                self._encode_words(words[start:i])
+                start, size = i, 0
+        for piece, stem in marked:
+            marks = piece[len(stem) :]
+            if marks not in self._marks:
+                self._marks[marks] = self._ids(marks).tobytes()
+            self._known[piece] = self._known[stem] + self._marks[marks]
+        # Four bytes a character at most, and what Python adds to pieces and ids.
+        self._held += 4 * sum(map(len, fresh)) + 190 * len(fresh)
+
+    def _encode_words(self, words: Sequence[str]) -> None:
+        joined = "".join([w if w[0] == "\n" else " " + w for w in words])
+        ids = self._ids(joined)
+        if joined.isascii():
+            ends = np.cumsum([len(w) + (w[0] != "\n") for w in words])
+        else:
+            ends = np.cumsum([len(w.encode()) + (w[0] != "\n") for w in words])
+        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+        data, at = ids.tobytes(), 0
+        for word, cut in zip(words, (4 * cuts).tolist(), strict=True):
+            self._known[word] = data[at:cut]
+            at = cut
+
+    def encode(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text."""
+        found, start, size = [], 0, 0
+        for i, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= _GROUP or i == len(texts):
+                found += self._encode_group(texts[start:i])
+                start, size = i, 0
+        return found
+
+    def _encode_group(self, texts: Sequence[str]) -> list[bytes]:
+        if self._held > _MEMORY:
+            self._known = dict(islice(self._known.items(), len(self._known) // 2))
+            self._held //= 2
+        get = self._known.get
+        cut: list[tuple[str | None, list[str], list[bytes | None], str | None]] = []
+        fresh: dict[str, None] = {}
+        for text in texts:
+            first = last = None
+            # The newline before a text is taken off again with its id.
+            pieces = f"\n{text}".replace("\n", " \n").split(" ")[1:]
+            found = list(map(get, pieces))
+            if None in found:
+                new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+                # Known pieces are bare.
+                if _NOT_BARE.search(_JOIN.join(new)):
+                    first, *pieces = _CUT.split(text)
+                    last = pieces.pop() if pieces else None
+                    found = list(map(get, pieces))
+                    new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+                fresh.update(dict.fromkeys(new))
+            cut.append((first, pieces, found, last))
+        self._learn(list(fresh))
+        return [self._joined(*parts) for parts in cut]
+
+    def _joined(
+        self, first: str | None, pieces: list[str], found: list[bytes | None], last: str | None
+    ) -> bytes:
+        if None in found:
+            known = self._known
+            found = [known[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+        ids = b"".join(found)
+        if first is None:
+            return ids[self._newline :]
+        ids = self._ids(first).tobytes() + ids
+        return ids if last is None else ids + self._ids(" " + last).tobytes()
 
 
 @functools.cache
@@ -144,7 +196,8 @@ def _encoding(tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]
         end = np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            found = [encoder(tokenizer).encode(text or "") + end for text in batch.column("text").to_pylist()]
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            found = [ids + end for ids in encoder(tokenizer).encode(texts)]
             sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
             ends = np.cumsum(sizes)
             ids = np.frombuffer(b"".join(found), dtype="<i4")
