@@ -82,6 +82,15 @@ def test_merge_keeps_keys_updates_attributes_and_never_touches_zero(spark):
     assert tuple(dims.merge_counts(again).first()) == (0, 3, 1)
 
 
+def test_unlike_rows_of_one_key_need_an_order(spark):
+    two = [("A", "first", False), ("A", "last", True), ("B", "b", False), ("B", "b", False)]
+    incoming = spark.createDataFrame(two, "region_nk string, nombre_region string, es_sin_region boolean")
+    with pytest.raises(ValueError, match="dim_region: unlike rows .*'A'"):
+        dims.merge_members(existing_regions(spark), incoming, REGION)
+    merged = dims.merge_members(existing_regions(spark), incoming.where("region_nk = 'B'"), REGION)
+    assert merged.where("region_nk = 'B'").count() == 1
+
+
 def test_merge_treats_null_key_parts_as_equal(spark):
     existing = spark.createDataFrame([(1, "g", None, None)], STAR[HIERARCHY.table])
     incoming = existing.drop("sk_jerarquia")
