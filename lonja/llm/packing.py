@@ -113,9 +113,10 @@ def packed(
     doc_id, piece, start and n_tokens (the piece's tokens in its document), sequence, position
     (its first token in the sequence), capacity and used of the sequence. A document longer
     than the longest capacity is cut into pieces of that length and a rest. One without tokens,
-    or of null size, has one row without a sequence. Pieces are dealt by a hash of doc_id and
-    piece into groups of about ``group`` and never more, equal ones included, so results do not
-    depend on the cluster. Repeated rows and null ids are packed like others. Only doc_id and
+    or of null size, has one row without a sequence. Pieces are dealt by a hash of doc_id, piece
+    and the document's size into groups of about ``group`` and never more, equal ones included,
+    so results do not depend on the cluster, and rows without an id are dealt out by their sizes.
+    Repeated rows and null ids are packed like others. Only doc_id and
     what ``size`` needs are read.
     """
     capacities = sorted(capacities)
@@ -134,11 +135,13 @@ def packed(
         "piece",
         start.alias("start"),
         F.least(F.col("size") - start, F.lit(longest)).alias("n_tokens"),
+        F.xxhash64("doc_id", "piece", "size").alias("hash"),
     )
     total = pieces.where("n_tokens > 0").count()
     groups = max(1, -(-total // group))
-    number = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).alias("number")
-    dealt = pieces.where("n_tokens > 0").select(number, "*").repartition("number")
+    number = F.pmod("hash", F.lit(groups)).alias("number")
+    dealt = pieces.where("n_tokens > 0").select(number, "doc_id", "piece", "start", "n_tokens")
+    dealt = dealt.repartition("number")
     ordered = dealt.sortWithinPartitions("number", F.desc("n_tokens"), "doc_id", "piece")
     placed = ordered.mapInArrow(_packer(capacities, group), _PACKED)
     nothing = F.lit(None).cast("bigint")
