@@ -78,3 +78,15 @@ def test_sources_fail_fast(spark, tmp_path):
         read_source(spark, sources, "otra")
     with pytest.raises(FileNotFoundError, match="ventas"):
         read_source(spark, sources, "ventas")
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_only_rows_with_a_copy_are_compared(spark, monkeypatch, limit):
+    """The same rows whether the repeated hashes are few or too many; nulls move between columns."""
+    monkeypatch.setattr(clean, "REPEATED_HASHES", limit)
+    rows = [(i, None if i % 2 else "x", float(i)) for i in range(50)]
+    rows += [rows[3], rows[3], rows[8], (None, "y", 0.0), (None, "y", -0.0), (1, "y", None), (None, None, 1.0)]
+    once = clean.drop_duplicate_rows(spark.createDataFrame(rows, "a int, b string, c double"))
+    assert {tuple(r) for r in once.collect()} == set(rows) and once.count() == len(set(rows))
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftAnti" in plan) == (limit > 0)
