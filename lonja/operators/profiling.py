@@ -22,6 +22,9 @@ SAMPLE_VALUES = 15
 SHORT_CODE = 5
 SAMPLE_GROUPS = 5
 
+# Rows at the start of a source in which most columns have all their sample values.
+HEAD_ROWS = 1000
+
 
 def _named(column: str) -> Column:
     return F.col(f"`{column}`")
@@ -154,12 +157,30 @@ def sample_values(
 ) -> DataFrame:
     """First fifteen non-null values of each column in the given row order.
 
-    One scan for all columns: a row becomes one value per column with the row's place, and a task
-    keeps the first values of each column before anything is shuffled.
+    The rows that come first are kept by every task and written; in them nearly all columns have
+    their values. Only columns with fewer there are looked for in all rows: a row becomes one value
+    per such column with the row's place, and a task keeps the first values of each column before
+    anything is shuffled.
     """
     columns = list(columns or df.columns)
     place = F.struct(*[F.col(c) for c in order_by]).alias("_place")
-    melted = df.select(place, *[_named(c).cast("string").alias(c) for c in columns]).unpivot(
+    placed = df.select(place, *[_named(c).cast("string").alias(c) for c in columns])
+    # More rows may share the last place of the head, so that one does not count.
+    tied = F.col("_place") == F.max("_place").over(Window.partitionBy())
+    head = stage(placed.orderBy("_place").limit(HEAD_ROWS).withColumn("_tied", tied), "head")
+    counts = [F.count_if(~F.col("_tied") & _named(c).isNotNull()).alias(c) for c in columns]
+    rows, *filled = head.agg(F.count("*").alias("_rows"), *counts).first()
+    if rows < HEAD_ROWS:
+        return _first_values(head, columns)
+    early = [c for c, n in zip(columns, filled, strict=True) if n >= SAMPLE_VALUES]
+    late = [c for c in columns if c not in early]
+    parts = [_first_values(df, own) for df, own in ((head.where("not _tied"), early), (placed, late)) if own]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _first_values(placed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """First fifteen non-null values of each column by ``_place``, then by value."""
+    melted = placed.select("_place", *[_named(c) for c in columns]).unpivot(
         ["_place"], [_named(c) for c in columns], "columna", "valor"
     )
     order = [F.col("_place"), F.col("valor")]

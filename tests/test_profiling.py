@@ -143,3 +143,16 @@ def test_additive_gap(spark):
     rows = [(10.0, 4.0, 6.0), (10.0, 4.0, 5.0), (None, 1.0, 1.0)]
     df = spark.createDataFrame(rows, "t double, a double, b double")
     assert tuple(profiling.additive_gap(df, "t", ["a", "b"], 0.01).first()) == (1, 1.0)
+
+
+def test_samples_of_sparse_columns_and_of_tied_places(spark, monkeypatch):
+    """Columns that are rare at the start, and rows that share the last place of it."""
+    monkeypatch.setattr(profiling, "HEAD_ROWS", 20)
+    rows = [(i // 6, f"v{-i % 6}{i}", f"s{i}" if i % 9 == 8 else None, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "p int, v string, s string, n string").repartition(5)
+    got = {(r["columna"], r["puesto"]): r["valor"] for r in profiling.sample_values(df, ["p"], ["v", "s", "n"]).collect()}
+    expected = {}
+    for i, name in ((1, "v"), (2, "s")):
+        first = sorted((r[0], r[i]) for r in rows if r[i] is not None)[:15]
+        expected |= {(name, n): value for n, (_, value) in enumerate(first, 1)}
+    assert got == expected
