@@ -14,6 +14,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from lonja.plans import queries_sources, registry
+from lonja.sources import analogues
 from lonja.sources.landing import common_type
 from lonja.sources.registry import PLACE, Source, first_rows, missing_columns, read_source
 
@@ -117,3 +119,29 @@ def test_first_rows_are_those_of_the_first_files(spark, tmp_path):
     assert sorted(int(r["a"]) for r in found.collect()) == [*range(50), *range(100, 110)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrdered" in plan
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_text_lands_compressed_in_files_of_bounded_rows(spark, tmp_path, fmt, monkeypatch):
+    monkeypatch.setattr(queries_sources, "_TEXT_ROWS", 2)
+    df = spark.createDataFrame([(i, None, "2") for i in range(5)], "a int, b string, c string").coalesce(1)
+    queries_sources._land(df, fmt, f"{tmp_path}/s")
+    assert len(list(tmp_path.glob(f"s/*.{fmt}.gz"))) == 3
+    landed = read_source(spark, {"s": Source(f"{tmp_path}/s", SCHEMA, fmt)}, "s")
+    assert values(landed) == [(str(i), None, "2") for i in range(5)]
+
+
+def test_lines_meet_their_orders_with_the_places_in_one_join(spark, sf):
+    plan = analogues.sales(spark, sf, ["region_comercial"])._jdf.queryExecution().optimizedPlan()
+    first = next(line for line in plan.toString().splitlines() if "Join" in line)
+    assert "l_orderkey" in first
+
+
+def test_a_mart_loaded_twice_builds_its_sources_once(spark, sf, monkeypatch):
+    built, loads = [], []
+    monkeypatch.setattr(registry, "_RELOADED", {})
+    monkeypatch.setattr(registry.analogues, "raw_sources", lambda *a: built.append(a) or {"x": spark.range(3)})
+    monkeypatch.setattr(registry, "seed_calendar", lambda *a: None)
+    monkeypatch.setattr(registry, "run_load", lambda mart, raw: loads.append(raw["x"].inputFiles()))
+    registry.reloaded(spark, sf)
+    assert len(built) == 1 and len(loads) == 2 and loads[0] == loads[1] and loads[0]
