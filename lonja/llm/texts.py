@@ -63,10 +63,15 @@ def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
         return starts, np.empty(0, dtype=np.uint64)
-    up, down = _POWERS.upto(len(codes))
+    return starts, range_hashes(codes, starts, ends)
+
+
+def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every range of the bytes ``codes``."""
+    up, down = _POWERS.upto(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[codes] * up, out=sums[1:])
-    return starts, mix((sums[ends] - sums[starts]) * down[starts])
+    np.cumsum(_BYTE[codes] * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def _blocks(texts: Sequence[bytes]) -> Iterable[tuple[list[int], list[bytes]]]:

@@ -14,9 +14,9 @@ import functools
 import math
 import os
 import re
+import string
 import zlib
 from collections.abc import Callable, Iterator, Sequence
-from itertools import islice
 from uuid import uuid4
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from lonja.llm.texts import small_batches, total_bytes
+from lonja.llm.texts import range_hashes, small_batches, total_bytes
 from lonja.session import shared_folder
 
 # Text behind one file of the table.
@@ -44,32 +44,156 @@ ENCODINGS = {
 }
 
 # Bytes of remembered pieces and ids; beyond it a worker forgets the half that it met last, as
-# frequent pieces are met early.
-_MEMORY = 192 << 20
+# frequent pieces are met early. Arrays that grow may take twice as much.
+_MEMORY = 96 << 20
 
 # Text that is encoded in one call, and characters whose pieces are held at a time.
 _STEP = 64 << 10
 _GROUP = 1 << 18
 
 # A byte-level pre-tokenizer always starts a new piece at one space between two other characters,
-# at and after one newline between two, and between a letter or digit and one of these marks.
+# at and after one newline between two, and where a letter or digit meets one of these marks.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_MARKS = ".,;:!?"
+_MARKS = string.punctuation.encode()
+
+# Longer runs of marks stay with the word before them.
+_MOST_MARKS = 15
 
 # Among pieces joined by zeros, one that is not bare: empty, or with white space at an end other
 # than a first newline.
 _JOIN = "\0"
 _NOT_BARE = re.compile(r"(?:\A|\0)(?:\n?(?:[^\S\n]|\0|\Z)|\n\n)|\s(?:\0|\Z)")
 
+_SPACE, _NEWLINE = b" \n"
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[list((string.ascii_letters + string.digits).encode())] = True
+# The second byte of the letters from U+00C0 to U+00FF, and their first.
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+_LATIN_LEAD = 0xC3
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of runs of ``sizes`` from ``starts`` on, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+class _Growing:
+    """An array that is appended to."""
+
+    def __init__(self, dtype: type | str):
+        self._all, self.n = np.empty(1024, dtype=dtype), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self._all):
+            self._all = np.resize(self._all, max(2 * len(self._all), self.n + len(values)))
+        self._all[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def now(self) -> np.ndarray:
+        return self._all[: self.n]
+
+
+class _Memory:
+    """Numbered byte strings with their ids, found by a hash and then compared byte by byte."""
+
+    def __init__(self) -> None:
+        self._hashes, self._text, self._ids = _Growing(np.uint64), _Growing(np.uint8), _Growing("<u4")
+        # Where the text and the ids of each string begin, and the end of the last.
+        self._text_at, self._ids_at = _Growing(np.int64), _Growing(np.int64)
+        self._text_at.append(np.zeros(1, dtype=np.int64))
+        self._ids_at.append(np.zeros(1, dtype=np.int64))
+        self._slots = np.full(4096, -1, dtype=np.int32)
+
+    @property
+    def held(self) -> int:
+        return 40 * self._hashes.n + self._text.n + 4 * self._ids.n
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of the string of each hash, or -1."""
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        if not self._hashes.n:
+            return found
+        known, left, at = self._hashes.now, np.arange(len(hashes)), self._first_slot(hashes)
+        while len(left):
+            number = self._slots[at]
+            taken = number >= 0
+            hit = taken & (known[number] == hashes[left])
+            found[left[hit]] = number[hit]
+            on = taken & ~hit
+            left, at = left[on], self._next_slot(at[on])
+        return found
+
+    def add(
+        self, hashes: np.ndarray, text: bytes, text_sizes: np.ndarray, ids: np.ndarray, id_sizes: np.ndarray
+    ) -> np.ndarray:
+        """Remember strings whose hashes are unlike each other and all known ones; their numbers."""
+        numbers = np.arange(self._hashes.n, self._hashes.n + len(hashes), dtype=np.int32)
+        self._text_at.append(self._text.n + np.cumsum(text_sizes))
+        self._ids_at.append(self._ids.n + np.cumsum(id_sizes))
+        self._hashes.append(hashes)
+        self._text.append(np.frombuffer(text, dtype=np.uint8))
+        self._ids.append(ids)
+        if 2 * self._hashes.n > len(self._slots):
+            self._deal(4 * self._hashes.n)
+        else:
+            self._place(hashes, numbers)
+        return numbers
+
+    def forget_half(self) -> None:
+        n = self._hashes.n // 2
+        self._hashes.n, self._text_at.n, self._ids_at.n = n, n + 1, n + 1
+        self._text.n, self._ids.n = int(self._text_at.now[-1]), int(self._ids_at.now[-1])
+        self._deal(len(self._slots))
+
+    def _deal(self, slots: int) -> None:
+        self._slots = np.full(1 << (slots - 1).bit_length(), -1, dtype=np.int32)
+        self._place(self._hashes.now, np.arange(self._hashes.n, dtype=np.int32))
+
+    def _first_slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self._slots) - 1)).astype(np.int64)
+
+    def _next_slot(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & (len(self._slots) - 1)
+
+    def _place(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        at = self._first_slot(hashes)
+        while len(numbers):
+            free = self._slots[at] < 0
+            self._slots[at[free]] = numbers[free]
+            on = self._slots[at] != numbers
+            numbers, at = numbers[on], self._next_slot(at[on])
+
+    def unlike(self, numbers: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which strings, given as ranges of ``codes``, are other ones than those of the numbers."""
+        first = self._text_at.now[numbers]
+        sizes = ends - starts
+        other = self._text_at.now[numbers + 1] - first != sizes
+        if other.any():
+            sizes = np.where(other, 0, sizes)
+        differs = self._text.now[_spread(first, sizes)] != codes[_spread(starts, sizes)]
+        if differs.any():
+            other[np.repeat(np.arange(len(sizes)), sizes)[differs]] = True
+        return other
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings, one after the other, and the count of each."""
+        first = self._ids_at.now[numbers]
+        sizes = self._ids_at.now[numbers + 1] - first
+        return self._ids.now[_spread(first, sizes)], sizes
+
 
 class Encoder:
     """Texts to little-endian 32-bit ids by a byte-level tokenizer file, without special tokens.
 
     A text is cut where the tokenizer cuts it in any case, and a piece seen before is not encoded
-    again. A piece is remembered as what follows a space, or a newline if it begins with one. New
-    pieces are encoded together; as every id stands for a known number of bytes, their ids are
-    told apart by the pieces' lengths. So no long text is encoded as a whole, unless nothing in
-    it can be cut.
+    again. A piece is remembered as what follows a space, as a newline and what follows it, or as
+    the marks after a word. New pieces are encoded together; as every id stands for a known number
+    of bytes, their ids are told apart by the pieces' lengths. So no long text is encoded as a
+    whole, unless nothing in it can be cut.
     """
 
     def __init__(self, path: str):
@@ -90,99 +214,153 @@ class Encoder:
         for token, number in vocabulary.items():
             self._bytes[number] = len(token.encode()) if token in added else len(token)
         self._tokenizer = tokenizer
-        self._marks: dict[str, bytes] = {}
-        self._newline = len(self._ids("\n").tobytes())
-        self._known: dict[str, bytes] = {}
-        self._held = 0
+        # A mark may be a part of an added token.
+        self._is_mark = np.zeros(256, dtype=bool)
+        self._is_mark[list(set(_MARKS).difference(*[t.encode() for t in added]))] = True
+        self._newline = len(self._ids("\n"))
+        self._known = _Memory()
 
     def _ids(self, text: str) -> np.ndarray:
         (found,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype="<u4")
 
-    def _learn(self, fresh: Sequence[str]) -> None:
-        """Remember the ids of bare pieces that are not known yet."""
-        stems, marked = {}, []
-        for piece in fresh:
-            stem = piece.rstrip(_MARKS)
-            if stem is not piece and stem and stem[-1].isalnum():
-                marked.append((piece, stem))
-                piece = stem
-            if piece not in self._known:
-                stems[piece] = None
-        start = size = 0
-        words = list(stems)
-        for i, word in enumerate(words, 1):
-            size += len(word) + 1
-            if size >= _STEP or i == len(words):
-                self._encode_words(words[start:i])
-                start, size = i, 0
-        for piece, stem in marked:
-            marks = piece[len(stem) :]
-            if marks not in self._marks:
-                self._marks[marks] = self._ids(marks).tobytes()
-            self._known[piece] = self._known[stem] + self._marks[marks]
-        # Four bytes a character at most, and what Python adds to pieces and ids.
-        self._held += 4 * sum(map(len, fresh)) + 190 * len(fresh)
-
-    def _encode_words(self, words: Sequence[str]) -> None:
-        joined = "".join([w if w[0] == "\n" else " " + w for w in words])
-        ids = self._ids(joined)
-        if joined.isascii():
-            ends = np.cumsum([len(w) + (w[0] != "\n") for w in words])
-        else:
-            ends = np.cumsum([len(w.encode()) + (w[0] != "\n") for w in words])
-        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
-        data, at = ids.tobytes(), 0
-        for word, cut in zip(words, (4 * cuts).tolist(), strict=True):
-            self._known[word] = data[at:cut]
-            at = cut
-
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text."""
-        found, start, size = [], 0, 0
-        for i, text in enumerate(texts, 1):
-            size += len(text)
-            if size >= _GROUP or i == len(texts):
-                found += self._encode_group(texts[start:i])
-                start, size = i, 0
-        return found
-
-    def _encode_group(self, texts: Sequence[str]) -> list[bytes]:
-        if self._held > _MEMORY:
-            self._known = dict(islice(self._known.items(), len(self._known) // 2))
-            self._held //= 2
-        get = self._known.get
-        cut: list[tuple[str | None, list[str], list[bytes | None], str | None]] = []
-        fresh: dict[str, None] = {}
-        for text in texts:
-            first = last = None
-            # The newline before a text is taken off again with its id.
-            pieces = f"\n{text}".replace("\n", " \n").split(" ")[1:]
-            found = list(map(get, pieces))
-            if None in found:
-                new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
-                # Known pieces are bare.
-                if _NOT_BARE.search(_JOIN.join(new)):
-                    first, *pieces = _CUT.split(text)
-                    last = pieces.pop() if pieces else None
-                    found = list(map(get, pieces))
-                    new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
-                fresh.update(dict.fromkeys(new))
-            cut.append((first, pieces, found, last))
-        self._learn(list(fresh))
-        return [self._joined(*parts) for parts in cut]
-
-    def _joined(
-        self, first: str | None, pieces: list[str], found: list[bytes | None], last: str | None
-    ) -> bytes:
-        if None in found:
-            known = self._known
-            found = [known[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
-        ids = b"".join(found)
-        if first is None:
-            return ids[self._newline :]
-        ids = self._ids(first).tobytes() + ids
-        return ids if last is None else ids + self._ids(" " + last).tobytes()
+        found: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str, bool]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                end = len(text)
+                if end - at > _GROUP and (cut := _CUT.search(text, at + _GROUP)):
+                    end = cut.start()
+                group.append((i, text[at:end], at > 0))
+                size += end - at
+                at = end
+                if size >= _GROUP:
+                    self._encode_group(group, found)
+                    group, size = [], 0
+        if group:
+            self._encode_group(group, found)
+        return [b"".join(parts) for parts in found]
+
+    def _encode_group(self, group: Sequence[tuple[int, str, bool]], found: list[list[bytes]]) -> None:
+        """Append the ids of parts of texts; all but a text's first begin with a space at a cut."""
+        if self._known.held > _MEMORY:
+            self._known.forget_half()
+        # The newline before a text is taken off again with its id.
+        marked = [(t if on else "\n" + t).replace("\n", " \n").encode() for _, t, on in group]
+        data = b"".join(marked)[1:]
+        codes = np.frombuffer(data, dtype=np.uint8)
+        spaces = np.flatnonzero(codes == _SPACE)
+        starts, ends, is_marks = self._cut_marks(
+            codes, np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(codes)]])
+        )
+        numbers, rejected = self._numbers(data, starts, ends, is_marks)
+        upto = np.searchsorted(starts, np.cumsum([0, *map(len, marked)]))
+        apart = np.diff(np.concatenate([[0], np.cumsum(rejected)])[upto]) > 0
+        ids, sizes = self._known.ids(numbers[~rejected])
+        counts = np.zeros(len(numbers), dtype=np.int64)
+        counts[~rejected] = sizes
+        places = np.concatenate([[0], np.cumsum(counts)])[upto].tolist()
+        for k, (i, text, on) in enumerate(group):
+            if apart[k]:
+                found[i].append(self._cut_apart(text))
+            else:
+                found[i].append(ids[places[k] + (0 if on else self._newline) : places[k + 1]].tobytes())
+
+    def _cut_apart(self, text: str) -> bytes:
+        """The ids of a text that has other white space than single spaces and newlines."""
+        first, *pieces = _CUT.split(text)
+        last = [self._ids(" " + pieces.pop())] if pieces else []
+        inner = []
+        if pieces:
+            parts = [p.encode() for p in pieces]
+            data = b" ".join(parts)
+            sizes = np.array(list(map(len, parts)), dtype=np.int64)
+            ends = np.cumsum(sizes + 1) - 1
+            codes = np.frombuffer(data, dtype=np.uint8)
+            starts, ends, is_marks = self._cut_marks(codes, ends - sizes, ends)
+            numbers, rejected = self._numbers(data, starts, ends, is_marks)
+            if rejected.any():
+                inner = [self._ids(" " + p) for p in pieces]
+            else:
+                inner = [self._known.ids(numbers)[0]]
+        return b"".join([x.tobytes() for x in (self._ids(first), *inner, *last)])
+
+    def _cut_marks(
+        self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces with the marks after a word cut off as a piece; starts, ends and which are marks."""
+        filled = np.flatnonzero(ends > starts)
+        here = filled[self._is_mark[codes[ends[filled] - 1]]]
+        first, stem = starts[here], ends[here] - 1
+        for _ in range(_MOST_MARKS):
+            more = (stem > first) & self._is_mark[codes[stem - 1]]
+            if not more.any():
+                break
+            stem = stem - more
+        last = codes[stem - 1]
+        letter = _ALNUM[last] | (_LATIN[last] & (codes[np.maximum(stem - 2, 0)] == _LATIN_LEAD) & (stem > first + 1))
+        cut = (stem > first) & letter
+        here, stem = here[cut], stem[cut]
+        shorter = ends.copy()
+        shorter[here] = stem
+        is_marks = np.insert(np.zeros(len(starts), dtype=bool), here + 1, True)
+        return np.insert(starts, here + 1, stem), np.insert(shorter, here + 1, ends[here]), is_marks
+
+    def _numbers(
+        self, data: bytes, starts: np.ndarray, ends: np.ndarray, is_marks: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each piece in the memory, where new ones are put, and which have none.
+
+        Those are not bare, or have the hash of another piece.
+        """
+        codes = np.frombuffer(data, dtype=np.uint8)
+        hashes = range_hashes(codes, starts, ends)
+        hashes[is_marks] = ~hashes[is_marks]
+        numbers = self._known.find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            fresh, first, own = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            first = missing[first]
+            a, b = starts[first].tolist(), ends[first].tolist()
+            pieces = [data[x:y] for x, y in zip(a, b, strict=True)]
+            numbers[missing] = self._learn(fresh, pieces, is_marks[first])[own]
+        rejected = numbers < 0
+        good = np.flatnonzero(~rejected)
+        rejected[good] = self._known.unlike(numbers[good], codes, starts[good], ends[good])
+        return numbers, rejected
+
+    def _learn(self, hashes: np.ndarray, pieces: Sequence[bytes], is_marks: np.ndarray) -> np.ndarray:
+        """Numbers of new pieces, -1 for those that are not bare."""
+        numbers = np.full(len(pieces), -1, dtype=np.int64)
+        chosen: list[int] = []
+        words: list[bytes] = []
+        size = 0
+        every_bare = not _NOT_BARE.search(b"\0".join(pieces).decode())
+        for i, piece in enumerate(pieces):
+            if is_marks[i]:
+                ids = self._ids(piece.decode())
+                one = np.array([len(piece)]), ids, np.array([len(ids)])
+                numbers[i] = self._known.add(hashes[i : i + 1], piece, *one)[0]
+            elif every_bare or not _NOT_BARE.search(piece.decode()):
+                chosen.append(i)
+                words.append(piece)
+                size += len(piece) + 1
+            if words and (size >= _STEP or i == len(pieces) - 1):
+                numbers[chosen] = self._learn_words(hashes[chosen], words)
+                chosen, words, size = [], [], 0
+        return numbers
+
+    def _learn_words(self, hashes: np.ndarray, words: Sequence[bytes]) -> np.ndarray:
+        spaced = [w if w[0] == _NEWLINE else b" " + w for w in words]
+        ids = self._ids(b"".join(spaced).decode())
+        ends = np.cumsum(list(map(len, spaced)))
+        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+        sizes = np.array(list(map(len, words)), dtype=np.int64)
+        return self._known.add(hashes, b"".join(words), sizes, ids, np.diff(cuts, prepend=0))
 
 
 @functools.cache

@@ -129,3 +129,31 @@ def test_forgotten_pieces_are_encoded_again(tokenizer, monkeypatch):
     for i in range(50):
         text = f"some words {i} and {i * 7} more words"
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text).ids
+
+
+def test_marks_do_not_make_a_known_word_new(tokenizer, monkeypatch):
+    encoder = token_files.Encoder(FILE)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    encoder.encode([" ".join(words)])
+    asked, ids = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: asked.append(text) or ids(text))
+    text = " ".join(w + m for w in words for m in ("###", "%", "...", "$$$", ""))
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text).ids
+    assert sum(map(len, asked)) < 100
+
+
+def test_pieces_of_one_hash_are_told_apart(tokenizer, monkeypatch):
+    hashes = lambda codes, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3)
+    monkeypatch.setattr(token_files, "range_hashes", hashes)
+    encoder = token_files.Encoder(FILE)
+    for text in ("one two six, ten four  five\n\nseven", "ten one! two six four nine", "a  b cc ddd eee. fff"):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text).ids
+
+
+def test_long_text_is_encoded_in_parts(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "_GROUP", 50)
+    encoder = token_files.Encoder(FILE)
+    text = "some words, more  words\nand a new line " * 40
+    found = encoder.encode(["", text, "x" * 200, text[:60]])
+    expected = [tokenizer.encode(t).ids for t in ("", text, "x" * 200, text[:60])]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
