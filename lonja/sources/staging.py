@@ -109,7 +109,9 @@ def stage_numbered(
     # One row per write task.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
-    numbered = written.withColumn(column, within).join(sizes.select("_part", start), "_part")
+    # Spark takes the counts for as large as what they count, and would shuffle all rows to few tasks.
+    starts = F.broadcast(sizes.select("_part", start))
+    numbered = written.withColumn(column, within).join(starts, "_part")
     numbered = numbered.withColumn(column, F.col(column) + F.col("_start"))
     return numbered.drop("_part", "_pos", "_start")
 
