@@ -1,5 +1,6 @@
 """One contract for all files of a source, and rows in the order of the files."""
 
+import gzip
 from decimal import Decimal
 
 import pytest
@@ -107,6 +108,28 @@ def test_empty_files_are_no_files(spark, tmp_path):
         read_source(spark, {"s": Source(f"{tmp_path}/nowhere", SCHEMA, "csv")}, "s")
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_compressed_files_without_text_are_no_files(spark, tmp_path, fmt):
+    folder = tmp_path / "s"
+    folder.mkdir()
+    (folder / f"part-0.{fmt}.gz").write_bytes(gzip.compress(b""))
+    sources = {"s": Source(str(folder), SCHEMA, fmt)}
+    with pytest.raises(FileNotFoundError, match="no file"):
+        read_source(spark, sources, "s")
+    whole = spark.createDataFrame([("1", "x", "2")], "a string, b string, c string")
+    queries_sources._land(whole.coalesce(1), fmt, str(folder))
+    assert values(read_source(spark, sources, "s")) == [("1", "x", "2")]
+    assert missing_columns(spark, sources, "s").count() == 0
+
+
+def test_a_file_of_rows_without_columns_lacks_them(spark, tmp_path):
+    folder = tmp_path / "s"
+    folder.mkdir()
+    (folder / "part-0.json.gz").write_bytes(gzip.compress(b"{}\n"))
+    with pytest.raises(ValueError, match=r"lacks the columns a, b, c"):
+        read_source(spark, {"s": Source(str(folder), SCHEMA, "json")}, "s")
+
+
 def test_first_rows_are_those_of_the_first_files(spark, tmp_path):
     folder = tmp_path / "s"
     folder.mkdir()
