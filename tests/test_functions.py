@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lonja.functions import dates
 from lonja.functions.casts import typed, whole_number
-from lonja.functions.text import WHITESPACE, header_name, header_names, key_text, strip
+from lonja.functions.text import WHITESPACE, header_name, header_names, key_text, strip, strip_visible
 
 
 def values(spark, rows, dtype, expression):
@@ -34,6 +34,9 @@ def test_strip_removes_what_python_strips(spark):
     rows = [f"{ch}a b{ch}" for ch in WHITESPACE] + ["", " \t\n", None, "x y"]
     expected = [r.strip() if r is not None else None for r in rows]
     assert values(spark, rows, "string", strip) == expected
+    edges = [f"{a}{b}" for ch in (*WHITESPACE, "é", "~", "\x7f", "\x00") for a, b in ((ch, "a"), ("a", ch), (ch, ""))]
+    rows = rows + edges + [f"!{ch}~" for ch in WHITESPACE]
+    assert values(spark, rows, "string", strip_visible) == values(spark, rows, "string", strip)
 
 
 def test_key_text_turns_blank_into_null(spark):

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 )
 
 from lonja.plans import queries_sources, registry
-from lonja.sources import analogues
+from lonja.sources import analogues, staging
 from lonja.sources.landing import common_type
 from lonja.sources.registry import PLACE, Source, first_rows, missing_columns, read_source
 
@@ -168,3 +168,17 @@ def test_a_mart_loaded_twice_builds_its_sources_once(spark, sf, monkeypatch):
     monkeypatch.setattr(registry, "run_load", lambda mart, raw: loads.append(raw["x"].inputFiles()))
     registry.reloaded(spark, sf)
     assert len(built) == 1 and len(loads) == 2 and loads[0] == loads[1] and loads[0]
+
+
+def test_all_formats_are_landed_from_one_view(spark, sf, monkeypatch):
+    staged = []
+
+    def stage(df, name):
+        staged.append(name)
+        return staging.stage(df, name)
+
+    monkeypatch.setattr(queries_sources, "stage", stage)
+    found = registry.QUERIES["b15_landed_formats"](spark, sf).collect()
+    assert staged == ["ventas"]
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert {(r["formato"], r["filas"]) for r in found} == {(f, 2 * lines) for f in ("csv", "json", "parquet")}
